@@ -15,11 +15,12 @@ from .textkit import cut
 
 _SPACE = " \t\n\x0b\f\r"
 _SPACES = "[\\x20\\x09-\\x0D]+"
-#: Signals with a fence above. For shares the unit is 1/1000, for the word length 1/10 character.
+#: Signals with a fence above. For shares the unit is 1/1000, for the word length 1/10 character. The share of repeated lines
+#: is taken of six lines more than there are, so that one repeated line does not condemn a text of three.
 SIGNALS = ("symbol_share", "dup_line_share", "repeat_share", "word_length")
 #: A fence is the upper quartile plus REACH times the spread: the larger of quartile range and LEAST_SPREAD (in units).
 REACH = 6
-LEAST_SPREAD = {"symbol_share": 10, "dup_line_share": 40, "repeat_share": 40, "word_length": 10}
+LEAST_SPREAD = {"symbol_share": 10, "dup_line_share": 40, "repeat_share": 60, "word_length": 10}
 #: Groups with fewer documents than this have no fences of their own and use their language's, then everything's.
 LEAST_GROUP = 20
 
@@ -65,7 +66,7 @@ def with_signals(stats: DataFrame) -> DataFrame:
     return stats.withColumns(
         {
             "symbol_share": F.expr("(1000 * n_symbols) div greatest(word_chars, 1)"),
-            "dup_line_share": F.expr("(1000 * n_dup_lines) div greatest(n_lines, 1)"),
+            "dup_line_share": F.expr("(1000 * n_dup_lines) div (n_lines + 6)"),
             "repeat_share": F.expr("(1000 * n_repeat_words) div greatest(n_words, 1)"),
             "word_length": F.expr("least((10 * word_chars) div greatest(n_words, 1), 10000)"),
         }

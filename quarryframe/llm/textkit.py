@@ -7,7 +7,9 @@ longest text and not by the batch that Spark sends.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 CHUNK_BYTES = 2 << 20
 _SPACES = np.zeros(256, dtype=bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
+_NO_LETTERS = np.ones(256, dtype=bool)
+_NO_LETTERS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 _RNG = np.random.default_rng(20240229)
 _BYTE_VALUE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE_VALUE_LOWER = _BYTE_VALUE.copy()
@@ -74,13 +78,14 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Word positions (`starts`, `ends` in `data`) of a string column, and `bounds`: row i has words bounds[i]..bounds[i+1]."""
 
-    def __init__(self, column: pa.Array):
+    def __init__(self, column: pa.Array, letters_only: bool = False):
+        """letters_only: other ASCII characters than letters and digits part words, too."""
         data, offsets = text_buffers(column)
         self.data = data = data[offsets[0] : offsets[-1]]
         self.offsets = offsets = offsets - offsets[0]
         n = len(data)
         space, edge = np.ones(n + 2, dtype=bool), np.zeros(n + 1, dtype=bool)
-        space[1:-1] = _SPACES[data]
+        space[1:-1] = (_NO_LETTERS if letters_only else _SPACES)[data]
         edge[offsets] = True
         word = ~space[1:-1]
         self.starts = np.flatnonzero(word & (space[:-2] | edge[:-1]))
@@ -121,16 +126,40 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return first + np.arange(total)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: `spark.checkpoint.dir`; only where it is unset (as in tests) one is made here."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="checkpoints-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return f"{folder.rstrip('/')}/quarryframe/{spark.sparkContext.applicationId}"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder that the cluster names.
+    """Cut the lineage: write `df` as Parquet to the shared folder and read it back.
 
-    Only where `spark.checkpoint.dir` is unset (as in tests on one machine) a folder is made here.
+    Lost executors then cost at most the stages after the last cut. `drop_cuts` (also called at exit) frees the room.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if spark.sparkContext.applicationId not in _OPEN:
+        _OPEN.add(spark.sparkContext.applicationId)
+        atexit.register(drop_cuts, spark)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_cuts(spark: SparkSession) -> None:
+    """Delete every cut of this application; no frame that rests on one may be used afterwards."""
+    try:
+        context = spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # at exit the JVM may be gone
+        pass
+
+
+_OPEN: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
