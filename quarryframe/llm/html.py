@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import chunks
+from .textkit import chunks, cut
 
 #: Elements that hold no article text, and words of classes, ids and roles that mark such containers.
 SKIPPED = frozenset("head title nav footer aside form menu dialog iframe object svg math button select option textarea input label fieldset noscript template canvas audio video map script style".split())
@@ -208,5 +208,6 @@ def main_text(pages: DataFrame) -> DataFrame:
     """
     host = F.coalesce(F.lower(F.regexp_extract(F.col("url").cast("string"), "^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1)), F.lit(""))
     slim = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), host.alias("host"))
-    paths = consensus_paths(slim.select("host", "html"))
+    # Written, so that the join knows the size: small winners are sent to the pages, and the pages are not shuffled.
+    paths = cut(consensus_paths(slim.select("host", "html")))
     return slim.join(paths, "host", "left").select("page_id", "url", "html", "paths").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
