@@ -193,9 +193,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     made = cut(docs.mapInArrow(_sketch, "doc_id long, n_shingles long, print_a long, print_b long, bands array<long>, sketch binary"))
     # Equal sets have one representative: the smallest id.
-    classes = made.where("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "print_a", "print_b").agg(F.min("doc_id").alias("rep"))
-    owner = made.where("n_shingles > 0 and doc_id is not null").select("doc_id", "n_shingles", "print_a", "print_b").join(classes, ["n_shingles", "print_a", "print_b"]).select("doc_id", "rep")
-    reps = cut(made.join(classes.select(F.col("rep").alias("doc_id"), "n_shingles", "print_a", "print_b"), ["doc_id", "n_shingles", "print_a", "print_b"], "left_semi").select("doc_id", "n_shingles", "bands", "sketch"))
+    known = made.where("n_shingles > 0 and doc_id is not null")
+    classes = known.groupBy("n_shingles", "print_a", "print_b").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("top"))
+    # A key of its own for the join: both sides are dealt out for it, and AQE may split a class that a third of all rows share.
+    same = cut(classes.where("top > rep").select(F.xxhash64("n_shingles", "print_a", "print_b").alias("class"), F.col("n_shingles").alias("n"), F.col("print_a").alias("x"), F.col("print_b").alias("y"), "rep"))
+    members = known.select("doc_id", "n_shingles", "print_a", "print_b", F.xxhash64("n_shingles", "print_a", "print_b").alias("class"))
+    owner = members.join(same, (members["class"] == same["class"]) & (F.col("n_shingles") == F.col("n")) & (F.col("print_a") == F.col("x")) & (F.col("print_b") == F.col("y")), "left")
+    owner = cut(owner.select("doc_id", F.coalesce("rep", "doc_id").alias("rep")))
+    reps = cut(known.join(owner.where("doc_id <> rep").select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", "n_shingles", "bands", "sketch"))
     keys = reps.select("doc_id", F.explode("bands").alias("key"))
     hubs = keys.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("top")).where("top > hub")
     ties = keys.join(hubs, "key").where("doc_id > hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
