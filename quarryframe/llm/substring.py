@@ -131,7 +131,9 @@ def repeated_passages(docs: DataFrame, with_text: bool = False) -> DataFrame:
     suspects = cut(anchors.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared")))
     windows = docs.join(suspects, "doc_id").mapInArrow(_suspects, "window long, doc_id long, start int")
     low = windows.groupBy("window").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("window", "low")
-    goes = cut(windows.join(low, "window").where("doc_id > low").groupBy("doc_id").agg(F.collect_set("start").alias("starts")))
+    # A key of its own for the join: both sides are then dealt out for it, and AQE may split a window that a third of all rows share.
+    low = low.select(F.col("window").bitwiseXOR(F.lit(1)).alias("other"), "low")
+    goes = cut(windows.join(low, F.col("window").bitwiseXOR(F.lit(1)) == F.col("other")).where("doc_id > low").groupBy("doc_id").agg(F.collect_set("start").alias("starts")))
     left = docs.join(goes, "doc_id").mapInArrow(_erase, "doc_id long, n_removed long, kept_sha256 string, kept_text string")
     left = left.select("doc_id", "n_removed", "kept_sha256", *(["kept_text"] if with_text else []))
     nothing = hashlib.sha256(b"").hexdigest()
