@@ -1,0 +1,335 @@
+"""Order-dependent operators: greedy trackers, suppression, clustering and the pose state machine.
+
+Relational work (grouping, candidate pairs) is done before; the greedy part is a plain function over one clip or object, run by
+`applyInPandas`. Groups are clips of some seconds, so they are bounded by the data model.
+"""
+
+from __future__ import annotations
+
+import heapq
+import math
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+
+Box = tuple[float, float, float, float]
+
+
+def box_overlap(a: Box, b: Box) -> float:
+    """IoU of x0, y0, x1, y1 boxes."""
+    w, h = min(a[2], b[2]) - max(a[0], b[0]), min(a[3], b[3]) - max(a[1], b[1])
+    common = max(w, 0.0) * max(h, 0.0)
+    union = (a[2] - a[0]) * (a[3] - a[1]) + (b[2] - b[0]) * (b[3] - b[1]) - common
+    return common / union if union > 0 else 0.0
+
+
+@dataclass
+class Track:
+    id: int
+    members: list[int]
+    frames: list[int]
+    last: object
+    skipped: int = 0
+
+
+def greedy_tracks(frames: list[int], shapes: list, similarity: Callable = box_overlap, least: float = 0.3, max_skip: int = 3, min_length: int = 2) -> list[Track]:
+    """Link the shapes of ascending frames. Active tracks, oldest first, take the unused shape of the frame that is most similar to
+    their last one (the first of equals) if it reaches `least`; otherwise they skip, and leave after more than max_skip skips.
+    Unused shapes open tracks. Kept tracks (min_length members) come in the order in which they left, then the still active."""
+    active: list[Track] = []
+    done: list[Track] = []
+    fresh = 0
+    order = sorted(range(len(frames)), key=lambda i: frames[i])
+    by_frame: dict[int, list[int]] = {}
+    for i in order:
+        by_frame.setdefault(frames[i], []).append(i)
+    span = range(min(frames), max(frames) + 1) if frames else ()
+    for t in span:
+        free = list(by_frame.get(t, ()))
+        for track in active:
+            best, score = None, 0.0
+            for i in free:
+                s = similarity(track.last, shapes[i])
+                if s > score:
+                    best, score = i, s
+            if best is not None and score >= least:
+                track.members.append(best), track.frames.append(t)
+                track.last, track.skipped = shapes[best], 0
+                free.remove(best)
+            else:
+                track.skipped += 1
+        for i in free:
+            active.append(Track(fresh, [i], [t], shapes[i]))
+            fresh += 1
+        done += [x for x in active if x.skipped > max_skip and len(x.members) >= min_length]
+        active = [x for x in active if x.skipped <= max_skip]
+    return done + [x for x in active if len(x.members) >= min_length]
+
+
+def track_boxes(df: DataFrame, key: str, frame: str, box: tuple[str, str, str, str], **options) -> DataFrame:
+    """One row for each tracked box: key, track_id, frame, member order."""
+    kind = dict(df.dtypes)[key]
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values([frame, *box], kind="stable").reset_index(drop=True)
+        tracks = greedy_tracks(group[frame].tolist(), list(group[list(box)].itertuples(index=False, name=None)), **options)
+        rows = [(group[key][0], x.id, f, n) for x in tracks for n, f in enumerate(x.frames)]
+        return pd.DataFrame(rows, columns=[key, "track_id", "frame", "member"])
+
+    return df.select(key, frame, *box).groupBy(key).applyInPandas(run, f"{key} {kind}, track_id long, frame long, member long")
+
+
+def greedy_dedup(weights: list[float], pairs: dict[tuple[int, int], float], least: float = 0.3) -> list[int | None]:
+    """In descending weight (stable): None if kept, else the kept item that it duplicates first."""
+    kept: list[int] = []
+    out: list[int | None] = [None] * len(weights)
+    for i in sorted(range(len(weights)), key=lambda i: -weights[i]):
+        hit = next((k for k in kept if pairs.get((min(i, k), max(i, k)), 0.0) >= least), None)
+        if hit is None:
+            kept.append(i)
+        out[i] = hit
+    return out
+
+
+def box_nms(boxes: np.ndarray, scores: np.ndarray, threshold: float) -> list[int]:
+    """Indices that survive, best first; ties keep the input order."""
+    order, keep = list(np.argsort(-scores, kind="stable")), []
+    while order:
+        i = order.pop(0)
+        keep.append(int(i))
+        order = [j for j in order if box_overlap(tuple(boxes[i]), tuple(boxes[j])) <= threshold]
+    return keep
+
+
+def suppress(df: DataFrame, key: str, id_: str, box: tuple[str, str, str, str], score: str, threshold: float = 0.7) -> DataFrame:
+    """Non-maximum suppression by key: the surviving ids with their rank."""
+    kinds = dict(df.dtypes)
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(id_, kind="stable").reset_index(drop=True)
+        keep = box_nms(group[list(box)].to_numpy(float), group[score].to_numpy(float), threshold)
+        return pd.DataFrame({key: group[key].iloc[keep].to_numpy(), id_: group[id_].iloc[keep].to_numpy(), "rank": np.arange(len(keep))})
+
+    return df.select(key, id_, *box, score).groupBy(key).applyInPandas(run, f"{key} {kinds[key]}, {id_} {kinds[id_]}, rank long")
+
+
+def balanced_groups(loads: Iterable[float], groups: int, equal_size: bool = False) -> list[list[int]]:
+    """Longest processing time first: each item, by falling load, goes to the least loaded group (that has room, if sizes must be equal)."""
+    loads = list(loads)
+    room = -(-len(loads) // groups) if equal_size else len(loads)
+    heap, out = [(0.0, g) for g in range(groups)], [[] for _ in range(groups)]
+    heapq.heapify(heap)
+    for i in sorted(range(len(loads)), key=lambda i: -loads[i]):
+        load, g = heapq.heappop(heap)
+        out[g].append(i)
+        if len(out[g]) < room:
+            heapq.heappush(heap, (load + loads[i], g))
+    return out
+
+
+def rotation_angle(a: np.ndarray, b: np.ndarray) -> float:
+    return math.degrees(math.acos(max(-1.0, min(1.0, (float(np.trace(a @ b.T)) - 1) / 2))))
+
+
+def cluster_poses(poses: list[np.ndarray], angle: float, distance: float, symmetries: list[np.ndarray] | None = None) -> list[int]:
+    """Greedy clusters of 4x4 poses: index of the cluster's founder; a pose joins the first founder that is near under some symmetry."""
+    founders: list[int] = []
+    out = []
+    for i, pose in enumerate(poses):
+        home = None
+        for f in founders:
+            near = np.linalg.norm(pose[:3, 3] - poses[f][:3, 3]) < distance
+            if near and any(rotation_angle((pose @ s)[:3, :3], poses[f][:3, :3]) < angle for s in symmetries or [np.eye(4)]):
+                home = f
+                break
+        if home is None:
+            founders.append(i)
+            home = i
+        out.append(home)
+    return out
+
+
+def largest_dbscan_cluster(points: np.ndarray, radius: float, least: int) -> np.ndarray:
+    """Mask of the points of the biggest density cluster (ties: the first found); all False if there is none."""
+    near = [np.flatnonzero(np.linalg.norm(points - p, axis=1) <= radius) for p in points]
+    label, n = np.full(len(points), -1), 0
+    for i in range(len(points)):
+        if label[i] >= 0 or len(near[i]) < least:
+            continue
+        stack, label[i] = [i], n
+        while stack:
+            j = stack.pop()
+            if len(near[j]) >= least:
+                for k in near[j]:
+                    if label[k] < 0:
+                        label[k] = n
+                        stack.append(k)
+        n += 1
+    return label == int(np.argmax(np.bincount(label[label >= 0], minlength=1))) if n else np.zeros(len(points), bool)
+
+
+@dataclass(frozen=True)
+class Gates:
+    """Acceptance thresholds; relax widens them all."""
+
+    iou_min: float = 0.2
+    rmse_norm: float = 0.05
+    underfill: float = 0.30
+    score_drop: float = 0.2
+    rotation: float = 15.0
+    shift: float = 0.25
+    relax: float = 1.5
+    mode: str = "lenient"  # off, strict or lenient
+
+    def reject_reason(self, m: dict, previous_score: float | None, cooldown: int) -> str:
+        """Comma list of geom, drop, rot, trans; empty if accepted. Comparisons with NaN fail."""
+        if self.mode == "off":
+            return ""
+        k = 1.0 if self.mode == "strict" else max(1.0, self.relax)
+        reasons = []
+        if not (m["iou"] >= self.iou_min / k or (m["rmse_norm"] <= self.rmse_norm * k and m["underfill"] <= self.underfill * k)):
+            reasons.append("geom")
+        if cooldown <= 0:
+            if previous_score is not None and not m["score"] >= previous_score - self.score_drop * k:
+                reasons.append("drop")
+            if not m["rotation"] <= self.rotation * k:
+                reasons.append("rot")
+            if not m["shift"] <= self.shift * k:
+                reasons.append("trans")
+        return ",".join(reasons)
+
+
+@dataclass
+class PoseTracker:
+    """Accept, re-register, fall back to the nearest clean frame, retry once, fail; the re-registration budget spans both passes.
+
+    track(frame, pose) -> (pose, metrics) or None; register(frame) -> pose or None.
+    """
+
+    track: Callable
+    register: Callable
+    clean: list[int]
+    gates: Gates = field(default_factory=Gates)
+    retries: int = 5
+    window: int = 8
+    cooldown: int = 5
+    budget: int = 8
+    reinits: int = 0
+    log: list[tuple[int, str, str]] = field(default_factory=list)
+
+    def _spend(self, frame: int) -> bool:
+        self.reinits += 1
+        if self.reinits >= self.budget:
+            self.log.append((frame, "budget_exhausted", ""))
+            return False
+        return True
+
+    def run_pass(self, frames: Iterable[int], pose) -> bool:
+        """False if the pass was stopped."""
+        score, cooling = None, 0
+        for frame in frames:
+            found = self.track(frame, pose)
+            reason = "lost" if found is None else self.gates.reject_reason(found[1], score, cooling)
+            if not reason:
+                pose, score, cooling = found[0], found[1]["score"], max(0, cooling - 1)
+                self.log.append((frame, "tracked", ""))
+                continue
+            fresh = next((p for p in (self.register(frame) for _ in range(self.retries)) if p is not None), None)
+            if fresh is not None:
+                if not self._spend(frame):
+                    return False
+                pose, score, cooling = fresh, None, self.cooldown
+                self.log.append((frame, "reinit", reason))
+                continue
+            near = min((c for c in self.clean if abs(c - frame) <= self.window), key=lambda c: (abs(c - frame), c), default=None)
+            fresh = self.register(near) if near is not None else None
+            if fresh is None or not self._spend(frame):
+                self.log.append((frame, "failed_track", reason))
+                return False
+            pose, score, cooling = fresh, None, self.cooldown
+            again = self.track(frame, pose)
+            if again is None or self.gates.reject_reason(again[1], score, cooling):
+                self.log.append((frame, "failed_track", reason))
+                return False
+            pose, score = again[0], again[1]["score"]
+            self.log.append((frame, "fallback", reason))
+        return True
+
+    def run(self, frames: list[int], start: int) -> list[tuple[int, str, str]]:
+        """Backward from the start, then forward; each pass begins with a registration at the start."""
+        for part in ([f for f in reversed(frames) if f < start], [f for f in frames if f > start]):
+            pose = self.register(start)
+            if pose is not None:
+                self.run_pass(part, pose)
+        return self.log
+
+
+def write_segments(good: list[bool], windows: list[tuple[int, int]], patience: int = 24) -> list[tuple[int, int, int]]:
+    """Clip writing over decoded frames: (window, first written, frames written). A segment opens at its first good frame, repeats
+    the last good frame over gaps, closes at its end, or where `patience` failures in a row end all open segments."""
+    out, failed, closed = [], 0, set()
+    opened: dict[int, int] = {}
+    for t, ok in enumerate(good):
+        failed = 0 if ok else failed + 1
+        for i, (a, b) in enumerate(windows):
+            if a <= t < b and i not in closed:
+                if i not in opened and ok:
+                    opened[i] = t
+                if i in opened and (t == b - 1 or failed >= patience):
+                    out.append((i, opened.pop(i), 0))
+                    closed.add(i)
+                    first = out[-1][1]
+                    out[-1] = (i, first, (t if failed >= patience else t + 1) - first)
+    return sorted(out)
+
+
+def best_scale(loss: Callable[[float], float], low: float, high: float, steps: int = 60) -> float:
+    """Bounded one-dimensional minimisation in log scale by golden sections."""
+    a, b, g = math.log(low), math.log(high), (math.sqrt(5) - 1) / 2
+    c, d = b - g * (b - a), a + g * (b - a)
+    fc, fd = loss(math.exp(c)), loss(math.exp(d))
+    for _ in range(steps):
+        if fc <= fd:
+            b, d, fd = d, c, fc
+            c = b - g * (b - a)
+            fc = loss(math.exp(c))
+        else:
+            a, c, fc = c, d, fd
+            d = a + g * (b - a)
+            fd = loss(math.exp(d))
+    return math.exp((a + b) / 2)
+
+
+def frame_scale(points: np.ndarray, model: np.ndarray, trim: tuple[float, float] = (0.1, 0.9)) -> float:
+    """Median radius of the observed points about their centroid, trimmed inclusively at two quantiles, over the model's."""
+
+    def radius(x: np.ndarray) -> float:
+        r = np.linalg.norm(x - x.mean(axis=0), axis=1)
+        low, high = np.quantile(r, trim)
+        return float(np.median(r[(r >= low) & (r <= high)]))
+
+    return radius(points) / radius(model)
+
+
+def chamfer(a: np.ndarray, b: np.ndarray) -> float:
+    """Mean nearest distance both ways; infinity if a side is empty. Distances are taken in blocks of bounded size."""
+    if not len(a) or not len(b):
+        return math.inf
+
+    def one_way(x: np.ndarray, y: np.ndarray) -> float:
+        return float(np.concatenate([np.sqrt(((p[:, None] - y[None]) ** 2).sum(-1)).min(1) for p in np.array_split(x, -(-len(x) * len(y) // 2_000_000))]).mean())
+
+    return one_way(a, b) + one_way(b, a)
+
+
+def procrustes(source: np.ndarray, target: np.ndarray, with_scale: bool = True) -> tuple[float, np.ndarray, np.ndarray]:
+    """(s, R, t) that minimise |s R x + t - y|, by SVD."""
+    a, b = source - source.mean(0), target - target.mean(0)
+    u, d, vt = np.linalg.svd(b.T @ a)
+    flip = np.diag([1.0, 1.0, np.sign(np.linalg.det(u @ vt))])
+    rotation = u @ flip @ vt
+    scale = float((d * np.diag(flip)).sum() / (a**2).sum()) if with_scale else 1.0
+    return scale, rotation, target.mean(0) - scale * rotation @ source.mean(0)
