@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 
 def merge_ranges(df: DataFrame, keys: Sequence[str], start: str, stop: str) -> DataFrame:
-    """Merge half-open ranges of a key that overlap or touch."""
+    """Merge half-open ranges of a key that overlap or touch. Equal ranges are peers in the island numbering, whatever their order."""
     order = Window.partitionBy(*keys).orderBy(start, stop)
     reach = F.max(stop).over(order.rowsBetween(Window.unboundedPreceding, -1))
     marked = df.withColumn("_new", F.when(F.col(start) <= reach, 0).otherwise(1))
-    islands = marked.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    islands = marked.withColumn("_island", F.sum("_new").over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
     return islands.groupBy(*keys, "_island").agg(F.min(start).alias(start), F.max(stop).alias(stop), F.count("*").alias("ranges")).drop("_island")
 
 

@@ -70,7 +70,7 @@ def _boxes(spark, d) -> DataFrame:
 @query("box_iou", "M8 M9", f"WITH b AS ({_BOXES}), c AS ({_IOU}) SELECT p_partkey, round(common / (w * h + w2 * h2 - common), 6) AS iou, greatest(x - w // 10, 0) AS x0, least(x + w + w // 10, 50) AS x1 FROM c")
 def box_iou(spark, d):
     box = geo.padded_box(F.col("x"), F.col("y"), F.col("w"), F.col("h"), 0.1, F.lit(50), F.lit(50))
-    return _boxes(spark, d).withColumn("box", box).select("p_partkey", F.round("iou", 6).alias("iou"), F.col("box.x0").cast("long").alias("x0"), F.col("box.x1").cast("long").alias("x1"))
+    return _boxes(spark, d).withColumn("box", box).select("p_partkey", F.round("iou", 6).alias("iou"), F.col("box.x0").cast("int").alias("x0"), F.col("box.x1").cast("int").alias("x1"))
 
 
 @query("ap_at_iou", "A15 A16", f"WITH b AS ({_BOXES}), c AS ({_IOU}), i AS (SELECT common / (w * h + w2 * h2 - common) AS iou, x % 3 AS g FROM c) SELECT g, round(avg(iou), 6) AS mean, round(count(*) FILTER (iou > 0.25) / count(*), 6) AS ap25, round(count(*) FILTER (iou > 0.5) / count(*), 6) AS ap50, round(count(*) FILTER (iou > 0.75) / count(*), 6) AS ap75 FROM i GROUP BY g")
@@ -156,7 +156,7 @@ def rle_bounding_box(spark, d):
     return masks.bounding_box(r, ["clip"], F.lit(10))
 
 
-@query("stability_score", "M14", "SELECT vec_id, round(len(list_filter(embedding, x -> x > 0.05)) / nullif(len(list_filter(embedding, x -> x > -0.05)), 0), 6) AS stability FROM embeddings")
+@query("stability_score", "M14", "SELECT vec_id, round(len(list_filter(embedding, lambda x: x > 0.05)) / nullif(len(list_filter(embedding, lambda x: x > -0.05)), 0), 6) AS stability FROM embeddings")
 def stability_score(spark, d):
     return table(spark, d, "embeddings").select("vec_id", F.round(masks.stability(F.col("embedding").cast("array<double>"), 0.0, 0.05), 6).alias("stability"))
 

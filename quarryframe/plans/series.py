@@ -173,7 +173,7 @@ def stabbing(spark, d):
     "merge_frame_ranges", "A3 S6",
     f"""WITH f AS ({FRAMES}), r AS (SELECT clip, greatest(frame - 3, 0) AS a, frame + 4 AS b FROM f WHERE value > 45),
     m AS (SELECT *, max(b) OVER (PARTITION BY clip ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM r),
-    i AS (SELECT *, sum(CASE WHEN a <= reach THEN 0 ELSE 1 END) OVER (PARTITION BY clip ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS island FROM m)
+    i AS (SELECT *, sum(CASE WHEN a <= reach THEN 0 ELSE 1 END) OVER (PARTITION BY clip ORDER BY a, b) AS island FROM m)
     SELECT clip, min(a) AS a, max(b) AS b, count(*) AS ranges FROM i GROUP BY clip, island""",
 )
 def merge_frame_ranges(spark, d):

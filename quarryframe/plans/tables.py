@@ -182,7 +182,7 @@ def bucket_metrics_rollup(spark, d):
         count(*) AS n, round(avg(quality), 6) AS quality FROM _quality_rows GROUP BY GROUPING SETS ((), (lang, source))""")
 
 
-@query("merge_ship_ranges", "A3", "WITH r AS (SELECT l_suppkey, CAST(date_diff('day', DATE '1990-01-01', CAST(l_shipdate AS DATE)) AS BIGINT) - 1 AS a, CAST(date_diff('day', DATE '1990-01-01', CAST(l_shipdate AS DATE)) AS BIGINT) + 2 AS b FROM lineitem), m AS (SELECT *, max(b) OVER (PARTITION BY l_suppkey ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM r), i AS (SELECT *, sum(CASE WHEN a <= reach THEN 0 ELSE 1 END) OVER (PARTITION BY l_suppkey ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS island FROM m) SELECT l_suppkey, min(a) AS a, max(b) AS b, count(*) AS ranges FROM i GROUP BY l_suppkey, island")
+@query("merge_ship_ranges", "A3", "WITH r AS (SELECT l_suppkey, CAST(date_diff('day', DATE '1990-01-01', CAST(l_shipdate AS DATE)) AS BIGINT) - 1 AS a, CAST(date_diff('day', DATE '1990-01-01', CAST(l_shipdate AS DATE)) AS BIGINT) + 2 AS b FROM lineitem), m AS (SELECT *, max(b) OVER (PARTITION BY l_suppkey ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM r), i AS (SELECT *, sum(CASE WHEN a <= reach THEN 0 ELSE 1 END) OVER (PARTITION BY l_suppkey ORDER BY a, b) AS island FROM m) SELECT l_suppkey, min(a) AS a, max(b) AS b, count(*) AS ranges FROM i GROUP BY l_suppkey, island")
 def merge_ship_ranges(spark, d):
     day = F.datediff(F.to_date("l_shipdate"), F.lit("1990-01-01").cast("date")).cast("long")
     return intervals.merge_ranges(table(spark, d, "lineitem").select("l_suppkey", (day - 1).alias("a"), (day + 2).alias("b")), ["l_suppkey"], "a", "b")
