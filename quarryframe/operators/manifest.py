@@ -85,10 +85,10 @@ def work_queue(df: DataFrame, done: Column, needs: list[Column], chosen: DataFra
 
 def not_yet_written(planned: DataFrame, written: DataFrame, key: str, tolerance: dict[str, float] | None = None) -> DataFrame:
     """Incremental skip: planned rows without a written row of the same key whose metadata agree (within a tolerance, if given)."""
-    same = planned[key] == written[key]
+    same = F.col(f"p.{key}") == F.col(f"w.{key}")
     for column, eps in (tolerance or {}).items():
-        same = same & (F.abs(planned[column] - written[column]) <= eps)
-    return planned.join(written, same, "left_anti")
+        same = same & (F.abs(F.col(f"p.{column}") - F.col(f"w.{column}")) <= eps)
+    return planned.alias("p").join(written.alias("w"), same, "left_anti")
 
 
 def merge_stage_records(base: DataFrame, records: list[DataFrame], key: str) -> DataFrame:
