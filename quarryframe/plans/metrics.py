@@ -105,7 +105,7 @@ def voxel_dedup(spark, d):
     return ev.first_in_voxel(p, [], "x", "y", "z", "vec_id", 0.05).select("vec_id")
 
 
-@query("backproject", "G1 R9", "SELECT vec_id, round((embedding[1] * 400 + 300 - 320) * z / 500, 6) AS x, round((embedding[2] * 400 + 200 - 240) * z / 480, 6) AS y, round(z, 6) AS z FROM (SELECT *, CAST(embedding[3] AS DOUBLE) + 2 AS z FROM embeddings) WHERE z > 0")
+@query("backproject", "G1 R9", "SELECT vec_id, round((CAST(embedding[1] AS DOUBLE) * 400 + 300 - 320) * z / 500, 6) AS x, round((CAST(embedding[2] AS DOUBLE) * 400 + 200 - 240) * z / 480, 6) AS y, round(z, 6) AS z FROM (SELECT *, CAST(embedding[3] AS DOUBLE) + 2 AS z FROM embeddings) WHERE z > 0")
 def backproject(spark, d):
     e = table(spark, d, "embeddings").select("vec_id", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate("abc")])
     p = geo.back_project(F.col("a") * 400 + 300, F.col("b") * 400 + 200, F.col("c") + 2, F.lit(500.0), F.lit(480.0), F.lit(320.0), F.lit(240.0))
