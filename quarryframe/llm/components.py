@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import cut
+from .textkit import cut, spread_join
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -21,10 +21,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         # Large star: every larger neighbour of x hangs on the smallest id around x.
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
+        large = spread_join(both.where("v > u"), least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
         # Small star: x and its smaller neighbours hang on the smallest of them.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+        small = spread_join(large, least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         now = cut(small.select("e.*").where("u > v").distinct())
         seen = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if seen == last:

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHUNK_BYTES = 2 << 20
 _SPACES = np.zeros(256, dtype=bool)
@@ -162,5 +163,15 @@ def drop_cuts(spark: SparkSession) -> None:
 _OPEN: set[str] = set()
 
 
+def spread_join(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """rows joined with one row for each `key` (a long), so that AQE can split a key that many rows share.
+
+    `groups` is an aggregate by the key and thus dealt out by it already, which would tie the join to that exchange; AQE splits
+    skewed partitions only where both sides are dealt out for the join itself. Joining on an expression of the key does that.
+    """
+    other = groups.withColumnRenamed(key, "_other")
+    return rows.join(other, F.col(key).bitwiseXOR(F.lit(1)) == F.col("_other").bitwiseXOR(F.lit(1))).drop("_other")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
