@@ -4,7 +4,8 @@ Each window's rolling hash is computed; windows that cannot repeat are recognise
 anchor, the smallest hash among the 10-word runs inside it (a minimizer; neighbouring windows mostly share theirs, so a
 document has about one anchor for 20 words). Equal windows have equal anchors, so a window can only repeat in another
 document if its anchor does. Anchors are counted first; then only windows with a repeated anchor are shuffled and counted.
-Nothing is lost by it. Copies of a whole word sequence are judged by their first document and send nothing.
+Nothing is lost by it, and as hashes have 64 bits, a window can only be taken for another one by chance if its anchor repeats
+as well. Copies of a whole word sequence are judged by their first document and send nothing.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import Words, chunks, cut, mix, ranges, window_hashes
+from .textkit import Words, chunks, cut, mix, ranges, spread_join, window_hashes
 
 WINDOW = 50
 ANCHOR = 10
@@ -124,16 +125,15 @@ def repeated_passages(docs: DataFrame, with_text: bool = False) -> DataFrame:
     outline = cut(docs.mapInArrow(_outline, "doc_id long, n_words long, print_a long, print_b long, anchors array<long>, whole_sha256 string"))
     known = outline.where(f"doc_id is not null and n_words >= {WINDOW}")
     first = known.groupBy("n_words", "print_a", "print_b").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("top"))
-    copies = known.join(first.where("top > rep"), ["n_words", "print_a", "print_b"]).where("doc_id > rep").select("doc_id").distinct()
-    anchors = known.join(first.select(F.col("rep").alias("doc_id"), "n_words", "print_a", "print_b"), ["doc_id", "n_words", "print_a", "print_b"], "left_semi")
-    anchors = anchors.select("doc_id", F.explode("anchors").alias("anchor"))
+    many = cut(first.where("top > rep").select(F.xxhash64("n_words", "print_a", "print_b").alias("class"), F.col("n_words").alias("n"), F.col("print_a").alias("x"), F.col("print_b").alias("y"), "rep"))
+    same = (F.xxhash64("n_words", "print_a", "print_b") == F.col("class")) & (F.col("n_words") == F.col("n")) & (F.col("print_a") == F.col("x")) & (F.col("print_b") == F.col("y"))
+    copies = cut(known.select("doc_id", "n_words", "print_a", "print_b").join(many, same).where("doc_id > rep").select("doc_id").distinct())
+    anchors = known.join(copies, "doc_id", "left_anti").select("doc_id", F.explode("anchors").alias("anchor"))
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("anchor")
-    suspects = cut(anchors.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared")))
+    suspects = cut(spread_join(anchors, shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared")))
     windows = docs.join(suspects, "doc_id").mapInArrow(_suspects, "window long, doc_id long, start int")
     low = windows.groupBy("window").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("window", "low")
-    # A key of its own for the join: both sides are then dealt out for it, and AQE may split a window that a third of all rows share.
-    low = low.select(F.col("window").bitwiseXOR(F.lit(1)).alias("other"), "low")
-    goes = cut(windows.join(low, F.col("window").bitwiseXOR(F.lit(1)) == F.col("other")).where("doc_id > low").groupBy("doc_id").agg(F.collect_set("start").alias("starts")))
+    goes = cut(spread_join(windows, low, "window").where("doc_id > low").groupBy("doc_id").agg(F.collect_set("start").alias("starts")))
     left = docs.join(goes, "doc_id").mapInArrow(_erase, "doc_id long, n_removed long, kept_sha256 string, kept_text string")
     left = left.select("doc_id", "n_removed", "kept_sha256", *(["kept_text"] if with_text else []))
     nothing = hashlib.sha256(b"").hexdigest()
