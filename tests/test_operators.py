@@ -374,3 +374,25 @@ def test_streams_agree_with_batches(spark, tmp_path):
     counts.awaitTermination()
     assert sorted(map(tuple, spark.table("counts").collect())) == sorted(map(tuple, sessions.tumbling_counts(df, "ts", "10 minutes", "1 minute", "u").collect()))
     assert sessions.sessions(df, "u", "ts", "5 minutes", "1 minute").count() == 2
+
+
+def test_image_functions():
+    from quarryframe.operators import images
+
+    a = np.arange(12).reshape(3, 4)
+    padded, box = images.pad_square(a, 99)
+    assert padded.shape == (4, 4) and (images.cut_square(padded, box) == a).all()
+    assert images.resize_nearest(a, 6, 8)[::2, ::2].tolist() == a.tolist()
+    m = np.zeros((9, 9), bool)
+    m[3:6, 3:6] = True
+    assert images.dilated_foreground(m.astype(int)).sum() == 81 and images.masked_crop(np.ones((9, 9, 3)), m).shape == (3, 3, 3)
+    assert (images.sample_points(m, 5, 1, 2) == images.sample_points(m, 5, 1, 2)).all() and all(m[y, x] for x, y in images.sample_points(m, 20, 0, 0))
+    assert not any(m[y, x] for x, y in images.negative_points(m, np.zeros_like(m), (4, 4, 0), (1, 2), 3, 0, 0))
+    depth = np.full((5, 5), 2.0)
+    depth[2, 2] = 9.0
+    assert images.eroded_depth(depth, 1)[2, 2] == 0 and images.eroded_depth(depth, 1)[0, 0] == 2 and images.bilateral_depth(np.full((4, 4), 2.0))[0, 0] == pytest.approx(2)
+    p = np.array([[[0.9, 0.2]], [[0.1, 0.8]]])
+    assert images.hard_pixels(p, np.array([[0, 255]]), 1, 0.95).tolist() == [[True, False]]
+    assert len(images.contiguous_frames(10, 4, 0.5, 3)) == 4
+    with pytest.raises(ValueError):
+        images.contiguous_frames(2, 4, 0.5, 3)
