@@ -11,9 +11,12 @@ from .textkit import cut, table
 
 def keep_good(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    rows = docs.select(F.struct("*").alias("_row"), "text", F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"))
+    key = F.xxhash64("doc_id", "text", "lang", "source")  # equal rows share a verdict
+    rows = docs.select(key.alias("_key"), F.col("doc_id").alias("_id"), "text", F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"))
     measured = cut(quality.with_signals(quality.with_statistics(rows).drop("text")))
-    return quality.judge(measured, quality.adaptive_fences(measured)).where("kept").select("_row.*")
+    rejected = cut(quality.judge(measured, quality.adaptive_fences(measured)).where("not kept").select("_key", "_id").distinct())
+    # The rejected ids grow with the corpus and are never broadcast, so the plan is the same at every size.
+    return docs.join(rejected.hint("merge"), (key == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
 
 
 def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
