@@ -113,10 +113,48 @@ def radical_inverse(base: int, n: Column, digits: int = 40) -> Column:
     return sum(terms[1:], terms[0])
 
 
-def hammersley_sphere(i: Column, n: int, shift_u: float = 0.0, shift_v: float = 0.0) -> Column:
-    """(yaw, pitch) of the i-th of n points spread over the sphere."""
-    u, v = F.pmod(i / F.lit(float(n)) + shift_u, F.lit(1.0)), F.pmod(radical_inverse(2, i) + shift_v, F.lit(1.0))
-    return F.struct((u * 2 * math.pi).alias("yaw"), (F.acos(1 - 2 * v) - math.pi / 2).alias("pitch"))
+def hammersley_sphere(i: Column, n: int, offset_u: float = 0.0, offset_v: float = 0.0) -> Column:
+    """(yaw, pitch) of the i-th of n points on the sphere. The first quarter of the sequence covers half of the heights."""
+    u, v = i / F.lit(float(n)) + offset_u / n, radical_inverse(2, i) + offset_v
+    u = F.when(u < 0.25, 2 * u).otherwise(u * (2 / 3) + 1 / 3)
+    return F.struct((v * 2 * math.pi).alias("yaw"), (F.acos(F.greatest(1 - 2 * u, F.lit(-1.0))) - math.pi / 2).alias("pitch"))
+
+
+def point_grid(side: int) -> Column:
+    """Array of (x, y) evenly spaced in the unit square, row by row."""
+    place = lambda k: (k + 0.5) / F.lit(float(side))
+    line = F.sequence(F.lit(0), F.lit(side - 1))
+    return F.flatten(F.transform(line, lambda r: F.transform(F.sequence(F.lit(0), F.lit(side - 1)), lambda c: F.struct(place(c).alias("x"), place(r).alias("y")))))
+
+
+def layered_point_grids(side: int, layers: int, scale: int) -> list[Column]:
+    return [point_grid(int(side / scale**k)) for k in range(layers + 1)]
+
+
+def crop_boxes(width: Column, height: Column, layers: int, overlap_share: float) -> Column:
+    """Array of (layer, x0, y0, x1, y1): the whole image, then 2^k by 2^k overlapping crops for each layer k."""
+    box = lambda layer, x0, y0, x1, y1: F.struct(F.lit(layer).alias("layer"), *[v.cast("long").alias(k) for k, v in (("x0", x0), ("y0", y0), ("x1", x1), ("y1", y1))])
+    out = [box(0, F.lit(0), F.lit(0), width, height)]
+    for layer in range(1, layers + 1):
+        n = 2**layer
+        overlap = F.floor(F.least(width, height) * F.lit(overlap_share) * (2 / n))
+        w, h = (F.ceil((overlap * (n - 1) + side) / n) for side in (width, height))
+        out += [box(layer, (w - overlap) * i, (h - overlap) * j, F.least((w - overlap) * i + w, width), F.least((h - overlap) * j + h, height)) for i in range(n) for j in range(n)]
+    return F.array(*out)
+
+
+def closest_tiling(aspect: Column, most: int, area: Column | None = None, side: int = 448) -> Column:
+    """(w, h) tiles, w * h <= most, whose ratio is closest to the aspect. Equal ratios: the fewest tiles; with an area, the most
+    tiles of which the image's area exceeds half."""
+    grid = sorted(((w, h) for w in range(1, most + 1) for h in range(1, most + 1) if w * h <= most), key=lambda x: (x[0] * x[1], x))
+    tiles = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(h).alias("h")) for w, h in grid])
+    off = lambda g: F.abs(aspect - g["w"] / g["h"])
+    nearest = F.filter(tiles, lambda g: off(g) <= F.array_min(F.transform(tiles, off)))
+    first = F.get(nearest, F.lit(0))
+    if area is None:
+        return first
+    large = F.filter(nearest, lambda g: area > 0.5 * side * side * g["w"] * g["h"])
+    return F.coalesce(F.get(F.filter(large, lambda g: g["w"] * first["h"] == g["h"] * first["w"]), F.size(F.filter(large, lambda g: g["w"] * first["h"] == g["h"] * first["w"])) - 1), first)
 
 
 def box_iou(ax: Column, ay: Column, aw: Column, ah: Column, bx: Column, by: Column, bw: Column, bh: Column) -> Column:
@@ -132,8 +170,8 @@ def xyxy_to_xywh(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
 
 
 def padded_box(x: Column, y: Column, w: Column, h: Column, share: float, width: Column, height: Column) -> Column:
-    """A box widened by a share of its own size on each side, clamped to the image."""
-    px, py = F.floor(w * share), F.floor(h * share)
+    """A box widened by a share of its own size (a pixel at least) on each side, clamped to the image."""
+    px, py = F.greatest(F.floor(w * share), F.lit(1)), F.greatest(F.floor(h * share), F.lit(1))
     return F.struct(
         F.greatest(x - px, F.lit(0)).alias("x0"), F.greatest(y - py, F.lit(0)).alias("y0"), F.least(x + w + px, width).alias("x1"), F.least(y + h + py, height).alias("y1")
     )

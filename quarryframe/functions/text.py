@@ -84,13 +84,13 @@ def reduce_zero_label(value: Column) -> Column:
     return F.when((value == 0) | (value == 255), 255).otherwise(value - 1)
 
 
-#: Which labels each mode of the hand-object label map keeps, and as what.
+#: Which of the labels 0 to 8 (1 and 2: hands) each mode keeps, and as what.
 LABEL_MODES = {
     "allhands": {1: 1, 2: 1},
     "twohands": {1: 1, 2: 2},
-    "handobj1": {1: 1, 2: 1, 3: 2, 4: 2, 5: 2},
+    "handobj1": {1: 1, 2: 2, 3: 3, 4: 4, 5: 5},
     "obj1": {3: 1, 4: 2, 5: 3},
-    "obj2": {6: 1, 7: 2, 8: 3},
+    "obj2": {3: 1, 4: 2, 5: 3, 6: 4, 7: 5, 8: 6},
     "foreground": {i: 1 for i in range(1, 9)},
 }
 

@@ -132,9 +132,10 @@ def closed(mask: np.ndarray, element: list[tuple[int, int]]) -> np.ndarray:
     return erode(dilate(mask, element), element)
 
 
-def core(mask: np.ndarray, close: int = 5, shrink: int = 5) -> np.ndarray:
-    """Close with a square, then erode with a square."""
-    return erode(closed(mask, square(close)), square(shrink))
+def core(mask: np.ndarray, close: int = 3, shrink: int = 8) -> np.ndarray:
+    """Close with a square, then erode with a square; a size of 0 leaves a step out."""
+    mask = closed(mask, square(close)) if close > 0 else mask
+    return erode(mask, square(shrink)) if shrink > 0 else mask
 
 
 def components(mask: np.ndarray) -> tuple[np.ndarray, int]:

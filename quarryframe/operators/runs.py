@@ -52,7 +52,7 @@ def presence_flags(frames: DataFrame, clip: str, order: Sequence[str], left: Col
 def temporal_consensus(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, radius: int, share: float, out: str = "consensus") -> DataFrame:
     """True where at least max(1, ceil(share * n)) of the n rows within `radius` positions (clamped at the ends) are True."""
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-radius, radius)
-    return df.withColumn(out, F.sum(F.col(value).cast("int")).over(w) >= F.greatest(F.lit(1), F.ceil(F.count("*").over(w) * share - 1e-9)))
+    return df.withColumn(out, F.sum(F.col(value).cast("int")).over(w) >= F.greatest(F.lit(1), F.ceil(F.count("*").over(w) * F.lit(float(share)))))
 
 
 def local_median_cap(df: DataFrame, keys: Sequence[str], frame: str, area: str, radius: int = 5, factor: int = 6) -> DataFrame:

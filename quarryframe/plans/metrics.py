@@ -67,7 +67,7 @@ def _boxes(spark, d) -> DataFrame:
     return b.withColumn("iou", geo.box_iou(*[F.col(c).cast("double") for c in ("x", "y", "w", "h", "x2", "y2", "w2", "h2")]))
 
 
-@query("box_iou", "M8 M9", f"WITH b AS ({_BOXES}), c AS ({_IOU}) SELECT p_partkey, round(common / (w * h + w2 * h2 - common), 6) AS iou, greatest(x - w // 10, 0) AS x0, least(x + w + w // 10, 50) AS x1 FROM c")
+@query("box_iou", "M8 M9", f"WITH b AS ({_BOXES}), c AS ({_IOU}) SELECT p_partkey, round(common / (w * h + w2 * h2 - common), 6) AS iou, greatest(x - greatest(w // 10, 1), 0) AS x0, least(x + w + greatest(w // 10, 1), 50) AS x1 FROM c")
 def box_iou(spark, d):
     box = geo.padded_box(F.col("x"), F.col("y"), F.col("w"), F.col("h"), 0.1, F.lit(50), F.lit(50))
     return _boxes(spark, d).withColumn("box", box).select("p_partkey", F.round("iou", 6).alias("iou"), F.col("box.x0").cast("int").alias("x0"), F.col("box.x1").cast("int").alias("x1"))
@@ -236,9 +236,38 @@ def bounding_window_rank(spark, d):
     return top_k(frames(spark, d), ["clip"], [F.desc("value"), F.col("frame")], 5).select("clip", "frame", F.col("rank").cast("long").alias("rank"))
 
 
-@query("tile_aspect", "M19 M17", "WITH g AS (SELECT w, h, w / h AS r FROM (SELECT unnest(range(1, 7)) AS w) a, (SELECT unnest(range(1, 7)) AS h) b WHERE w * h <= 6 AND w * h >= 1), p AS (SELECT p_partkey, (p_size + 4) / (p_size % 9 + 3) AS a FROM part), s AS (SELECT p_partkey, w, h, row_number() OVER (PARTITION BY p_partkey ORDER BY round(abs(a - r), 9), w * h, w) AS k FROM p, g) SELECT p_partkey, CAST(w AS INT) AS cols, CAST(h AS INT) AS n_rows FROM s WHERE k = 1")
+@query(
+    "tile_aspect", "M19 M17",
+    """WITH g AS (SELECT w, h, w / h AS r FROM (SELECT unnest(range(1, 7)) AS w) a, (SELECT unnest(range(1, 7)) AS h) b WHERE w * h <= 6), p AS (SELECT p_partkey, p_size * 20000 AS area, (p_size + 4) / (p_size % 9 + 3) AS a FROM part),
+    s AS (SELECT p_partkey, area, w, h, row_number() OVER (PARTITION BY p_partkey ORDER BY abs(a - r), w * h, w) AS k, rank() OVER (PARTITION BY p_partkey ORDER BY abs(a - r)) AS tie, r FROM p, g), f AS (SELECT * FROM s WHERE k = 1),
+    b AS (SELECT s.p_partkey, max(s.w * s.h) AS m FROM s JOIN f ON s.p_partkey = f.p_partkey AND s.r = f.r AND s.tie = 1 AND s.area > 0.5 * 448 * 448 * s.w * s.h GROUP BY 1)
+    SELECT f.p_partkey, CAST(f.w AS INT) AS cols, CAST(f.h AS INT) AS n_rows, CAST(coalesce(b.m, f.w * f.h) AS INT) AS tiles_by_area FROM f LEFT JOIN b USING (p_partkey)""",
+)
 def tile_aspect(spark, d):
-    grid = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(h).alias("h")) for w in range(1, 7) for h in range(1, 7) if w * h <= 6])
     a = (F.col("p_size") + 4) / (F.col("p_size") % 9 + 3)
-    ranked = F.array_min(F.transform(grid, lambda g: F.struct(F.round(F.abs(a - g["w"] / g["h"]), 9).alias("off"), (g["w"] * g["h"]).alias("n"), g["w"].alias("w"), g["h"].alias("h"))))
-    return table(spark, d, "part").select("p_partkey", ranked.alias("g")).select("p_partkey", F.col("g.w").alias("cols"), F.col("g.h").alias("n_rows"))
+    p = table(spark, d, "part").select("p_partkey", geo.closest_tiling(a, 6).alias("g"), geo.closest_tiling(a, 6, F.col("p_size") * 20000).alias("b"))
+    return p.select("p_partkey", F.col("g.w").alias("cols"), F.col("g.h").alias("n_rows"), (F.col("b.w") * F.col("b.h")).alias("tiles_by_area"))
+
+
+@query(
+    "crop_boxes", "P22",
+    """WITH i AS (SELECT p_partkey, p_size * 13 + 40 AS w, p_size * 7 + 30 AS h FROM part), o AS (SELECT *, CAST(floor(least(w, h) * CAST(0.34133 AS DOUBLE) * 1.0) AS BIGINT) AS ov FROM i),
+    c AS (SELECT *, CAST(ceil((ov + w) / 2) AS BIGINT) AS cw, CAST(ceil((ov + h) / 2) AS BIGINT) AS ch FROM o)
+    SELECT p_partkey, 0 AS layer, CAST(0 AS BIGINT) AS x0, CAST(0 AS BIGINT) AS y0, CAST(w AS BIGINT) AS x1, CAST(h AS BIGINT) AS y1 FROM c
+    UNION ALL SELECT p_partkey, 1, (cw - ov) * a, (ch - ov) * b, least((cw - ov) * a + cw, w), least((ch - ov) * b + ch, h) FROM c, range(0, 2) s(a), range(0, 2) t(b)""",
+)
+def crop_boxes(spark, d):
+    box = geo.crop_boxes(F.col("p_size") * 13 + 40, F.col("p_size") * 7 + 30, 1, 0.34133)
+    return table(spark, d, "part").select("p_partkey", F.inline(box))
+
+
+@query("point_grid", "P22", "SELECT i // 4 AS r, i % 4 AS c, (i % 4 + 0.5) / 4 AS x, (i // 4 + 0.5) / 4 AS y FROM range(0, 16) t(i)")
+def point_grid(spark, d):
+    g = spark.range(1).select(F.posexplode(geo.point_grid(4)).alias("i", "p"))
+    return g.select(F.floor(F.col("i") / 4).alias("r"), (F.col("i") % 4).cast("long").alias("c"), "p.x", "p.y")
+
+
+@query("sphere_views", "P21", "WITH q AS (SELECT i, i / 24.0::DOUBLE AS u, list_sum([((i // CAST(pow(2, k) AS BIGINT)) % 2) / pow(2, k + 1) FOR k IN range(0, 10)]) AS v FROM range(0, 24) t(i)) SELECT i, round(v * 2 * pi(), 6) AS yaw, round(acos(greatest(1 - 2 * CASE WHEN u < 0.25 THEN 2 * u ELSE u * (2 / 3.0::DOUBLE) + 1 / 3.0::DOUBLE END, -1)) - pi() / 2, 6) AS pitch FROM q")
+def sphere_views(spark, d):
+    s = spark.range(24).select(F.col("id").alias("i"), geo.hammersley_sphere(F.col("id"), 24).alias("s"))
+    return s.select("i", F.round("s.yaw", 6).alias("yaw"), F.round("s.pitch", 6).alias("pitch"))

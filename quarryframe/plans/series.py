@@ -75,7 +75,7 @@ def local_median_cap(spark, d):
 @query(
     "temporal_consensus", "W4",
     f"""WITH f AS ({FRAMES}), a AS (SELECT clip, frame, CAST(value > 20 AS INT) AS on_ FROM f)
-    SELECT clip, frame, sum(on_) OVER w >= greatest(1, ceil(count(*) OVER w * 0.2 - 1e-9)) AS consensus FROM a WINDOW w AS (PARTITION BY clip ORDER BY frame ROWS BETWEEN 20 PRECEDING AND 20 FOLLOWING)""",
+    SELECT clip, frame, sum(on_) OVER w >= greatest(1, ceil(count(*) OVER w * CAST(0.2 AS DOUBLE))) AS consensus FROM a WINDOW w AS (PARTITION BY clip ORDER BY frame ROWS BETWEEN 20 PRECEDING AND 20 FOLLOWING)""",
 )
 def temporal_consensus(spark, d):
     f = frames(spark, d).select("clip", "frame", (F.col("value") > 20).alias("on"))
@@ -85,7 +85,7 @@ def temporal_consensus(spark, d):
 @query(
     "center_consensus", "W5",
     f"""WITH f AS ({FRAMES}), c AS (SELECT clip, CAST(floor(max(frame) / 2) AS BIGINT) AS center FROM f GROUP BY clip)
-    SELECT f.clip, count(*) AS present, CAST(sum(CAST(value > 20 AS INT)) AS BIGINT) AS votes, sum(CAST(value > 20 AS INT)) >= greatest(1, ceil(count(*) * 0.8 - 1e-9)) AS consensus
+    SELECT f.clip, count(*) AS present, CAST(sum(CAST(value > 20 AS INT)) AS BIGINT) AS votes, sum(CAST(value > 20 AS INT)) >= greatest(1, ceil(count(*) * CAST(0.8 AS DOUBLE))) AS consensus
     FROM f JOIN c USING (clip) WHERE abs(frame - center) <= 10 GROUP BY f.clip""",
 )
 def center_consensus(spark, d):
@@ -93,7 +93,7 @@ def center_consensus(spark, d):
     c = f.groupBy("clip").agg(F.floor(F.max("frame") / 2).alias("center"))
     near = f.join(c, "clip").where(F.abs(F.col("frame") - F.col("center")) <= 10)
     on = F.count_if(F.col("value") > 20)
-    return near.groupBy("clip").agg(F.count("*").alias("present"), on.alias("votes"), (on >= F.greatest(F.lit(1), F.ceil(F.count("*") * 0.8 - 1e-9))).alias("consensus"))
+    return near.groupBy("clip").agg(F.count("*").alias("present"), on.alias("votes"), (on >= F.greatest(F.lit(1), F.ceil(F.count("*") * 0.8))).alias("consensus"))
 
 
 @query(

@@ -141,10 +141,10 @@ def visibility_parse(spark, d):
     return table(spark, d, "documents").select("doc_id", tx.parse_visibility(F.substring("text", 1, 20)).alias("visibility"))
 
 
-@query("label_remap", "P12 P13 P14 D-7", "SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 1 THEN 1 WHEN 2 THEN 1 WHEN 3 THEN 2 WHEN 4 THEN 2 WHEN 5 THEN 2 ELSE 0 END AS handobj1, CASE WHEN l_linenumber IN (1, 2) THEN 3 ELSE l_linenumber END AS cascaded, CASE WHEN l_linenumber % 4 = 0 THEN 255 ELSE l_linenumber % 4 - 1 END AS zero_reduced FROM lineitem")
+@query("label_remap", "P12 P13 P14 D-7", "SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <= 5 THEN l_linenumber ELSE 0 END AS handobj1, CASE WHEN l_linenumber >= 3 THEN l_linenumber - 2 ELSE 0 END AS obj2, CASE WHEN l_linenumber IN (1, 2) THEN 3 ELSE l_linenumber END AS cascaded, CASE WHEN l_linenumber % 4 = 0 THEN 255 ELSE l_linenumber % 4 - 1 END AS zero_reduced FROM lineitem")
 def label_remap(spark, d):
     n = F.col("l_linenumber")
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", tx.remap_label(n, "handobj1").alias("handobj1"), tx.cascading_remap(n, {1: 2, 2: 3}).alias("cascaded"), tx.reduce_zero_label(n % 4).alias("zero_reduced"))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", tx.remap_label(n, "handobj1").alias("handobj1"), tx.remap_label(n, "obj2").alias("obj2"), tx.cascading_remap(n, {1: 2, 2: 3}).alias("cascaded"), tx.reduce_zero_label(n % 4).alias("zero_reduced"))
 
 
 @query("size_buckets", "P15", "SELECT CASE WHEN l_extendedprice < 1024 THEN 'small' WHEN l_extendedprice < 9216 THEN 'medium' ELSE 'large' END AS bucket, count(*) AS n FROM lineitem GROUP BY 1")

@@ -259,7 +259,7 @@ def test_small_metrics(spark):
 def test_geometry(spark):
     eye = F.array(*[F.lit(float(x)) for x in (1, 0, 0, 0, 1, 0, 0, 0, 1 + 1e-12)])
     assert spark.range(1).select(geometry.rotation_angle_deg(eye, eye).alias("a")).first().a == 0
-    assert spark.range(1).select(geometry.hammersley_sphere(F.lit(3), 8).alias("s")).first().s.yaw == pytest.approx(3 / 8 * 2 * math.pi)
+    assert spark.range(1).select(geometry.hammersley_sphere(F.lit(3), 8).alias("s")).first().s.yaw == pytest.approx(0.75 * 2 * math.pi)
     p = spark.createDataFrame([(float("nan"),), (-1.0,), (float("inf"),), (2.0,)], "z double").select(geometry.valid_depth(F.col("z")).alias("v")).collect()
     assert [r.v for r in p] == [False, False, False, True]
 
