@@ -188,14 +188,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     passages (that hold it), score (best share of the item's own BM25 score), question_overlap, answer_overlap.
 
     Words are runs of letters, digits and non-ASCII characters, lowered. Null or empty texts and items without words match nothing;
-    rows are searched one by one, so repeated rows give repeated results; repeated items count each; other columns are ignored; an
+    rows are searched one by one, so repeated rows give repeated results; repeated items count each, a null item_id is given as -1; other columns are ignored; an
     empty table on either side gives an empty result.
     """
     spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.col("text").cast("string")).alias("text"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     lowered = items.select("item_id", F.lower("text").alias("text")).mapInArrow(_terms, "item_id long, length long, terms array<long>").where("length > 0")
-    lowered = cut(lowered.select("*", F.monotonically_increasing_id().alias("at")))
+    lowered = cut(lowered)
     n, mean = lowered.agg(F.count("*"), F.avg("length")).first()
     frequency = lowered.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     passes = max(1, -(-n // ITEMS))

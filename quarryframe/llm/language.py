@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import chunks, mix, text_buffers
+from .textkit import chunks, text_buffers
 
 SAMPLE = 400
 SAMPLE_CHARS = 24_000_000  # of text that the sample may hold in all; longer samples use fewer rows
