@@ -123,22 +123,22 @@ def name_parts(spark, d):
 
 @query(
     "yes_no_parse", "P18 F4",
-    """WITH t AS (SELECT doc_id, lower(trim(coalesce(left(text, 60), ''))) AS t, text FROM documents)
+    """WITH t AS (SELECT doc_id, lower(trim(coalesce(text, ''))) AS t, text FROM documents)
     SELECT doc_id, CASE WHEN starts_with(t, 'yes') THEN 'yes' WHEN starts_with(t, 'no') THEN 'no' WHEN strpos(t, 'yes') > 0 AND strpos(t, 'no') = 0 THEN 'yes' WHEN strpos(t, 'no') > 0 AND strpos(t, 'yes') = 0 THEN 'no'
     WHEN strpos(t, 'yes') > 0 AND strpos(t, 'yes') < strpos(t, 'no') THEN 'yes' ELSE 'no' END AS verdict, contains(lower('no' || chr(10) || coalesce(text, '')), 'yes') AS passes FROM t""",
 )
 def yes_no_parse(spark, d):
     docs = table(spark, d, "documents")
-    return docs.select("doc_id", tx.parse_yes_no(F.substring("text", 1, 60)).alias("verdict"), tx.verdict_passes(F.lit("no"), F.coalesce("text", F.lit(""))).alias("passes"))
+    return docs.select("doc_id", tx.parse_yes_no(F.col("text")).alias("verdict"), tx.verdict_passes(F.lit("no"), F.coalesce("text", F.lit(""))).alias("passes"))
 
 
 @query(
     "visibility_parse", "P19",
-    """WITH t AS (SELECT doc_id, lower(trim(coalesce(left(text, 20), ''))) AS t FROM documents)
+    """WITH t AS (SELECT doc_id, lower(trim(coalesce(text, ''))) AS t FROM documents)
     SELECT doc_id, CASE WHEN contains(t, 'partial') THEN 'partial' WHEN contains(t, 'yes') THEN 'yes' WHEN contains(t, 'no') OR starts_with(t, 'n') THEN 'no' WHEN starts_with(t, 'y') THEN 'yes' WHEN starts_with(t, 'p') THEN 'partial' ELSE 'no' END AS visibility FROM t""",
 )
 def visibility_parse(spark, d):
-    return table(spark, d, "documents").select("doc_id", tx.parse_visibility(F.substring("text", 1, 20)).alias("visibility"))
+    return table(spark, d, "documents").select("doc_id", tx.parse_visibility(F.col("text")).alias("visibility"))
 
 
 @query("label_remap", "P12 P13 P14 D-7", "SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <= 5 THEN l_linenumber ELSE 0 END AS handobj1, CASE WHEN l_linenumber >= 3 THEN l_linenumber - 2 ELSE 0 END AS obj2, CASE WHEN l_linenumber IN (1, 2) THEN 3 ELSE l_linenumber END AS cascaded, CASE WHEN l_linenumber % 4 = 0 THEN 255 ELSE l_linenumber % 4 - 1 END AS zero_reduced FROM lineitem")
