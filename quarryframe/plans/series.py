@@ -251,7 +251,11 @@ def object_j(spark, d):
     return evaluation.scored_j(f.withColumn("seen", F.col("u") == 1), ["clip"], "frame", "i", "u", "in_t", "seen").withColumn("j", F.round("j", 6))
 
 
-@query("event_sessions", "2.12", None)
+@query(
+    "event_sessions", "2.12",
+    """WITH a AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL '1 hour' THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    b AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM a) SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL '1 hour' AS session_end, count(*) AS events FROM b GROUP BY user_id, s""",
+)
 def event_sessions(spark, d):
     return sessions.sessions(table(spark, d, "events"), "user_id", "ts", "1 hour", "1 hour")
 
