@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -24,6 +28,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_path(spark: SparkSession) -> str:
+    """A fresh path in the folder that all executors share (`spark.checkpoint.dir`; made here only where it is unset); it is
+    deleted when the application ends."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="checkpoints-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    path = f"{folder.rstrip('/')}/quarryframe/{spark.sparkContext.applicationId}-stores/{uuid.uuid4().hex}"
+    atexit.register(_delete, spark, path)
+    return path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # at exit the JVM may be gone
+        pass
+
+
 def require_columns(df: DataFrame, *columns: str) -> DataFrame:
     missing = [c for c in columns if c not in df.columns]
     if missing:

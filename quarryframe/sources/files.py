@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,9 +60,13 @@ def archive_arrays(content: bytes) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def read_masks(spark: SparkSession, path: str) -> DataFrame:
-    """Mask archives as run-length rows: one for each frame and non-zero label. A broken archive fails its rows, not the job: it
-    gives one row with a null frame."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.npz").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    """All .npz mask archives below `path` as run-length rows."""
+    return decode_archives(spark.read.format("binaryFile").option("pathGlobFilter", "*.npz").option("recursiveFileLookup", "true").load(path))
+
+
+def decode_archives(files: DataFrame) -> DataFrame:
+    """Mask archives (path, content) as run-length rows: one for each frame and non-zero label. A broken archive fails its rows,
+    not the job: it gives one row with a null frame."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -75,7 +79,7 @@ def read_masks(spark: SparkSession, path: str) -> DataFrame:
                     rows = [(where, None, None, None, None, None)]
                 yield pd.DataFrame(rows, columns=["path", "frame", "label", "h", "w", "counts"]).astype({"frame": "Int64", "label": "Int32", "h": "Int32", "w": "Int32"})
 
-    return files.mapInPandas(run, MASKS)
+    return files.select("path", "content").mapInPandas(run, MASKS)
 
 
 def write_masks(masks: DataFrame, path: str, partition: str) -> None:
@@ -89,9 +93,13 @@ def append_records(records: DataFrame, path: str) -> None:
 
 def read_scene_cameras(spark: SparkSession, path: str) -> DataFrame:
     """Per-scene camera JSON {frame: {cam_K, depth_scale}} -> frame, frame name of six digits, cam_K, depth_scale."""
+    return scene_cameras(spark.read.text(path, wholetext=True))
+
+
+def scene_cameras(texts: DataFrame) -> DataFrame:
+    """`read_scene_cameras` for texts that are columns already (value)."""
     camera = T.StructType([T.StructField("cam_K", T.ArrayType(T.DoubleType())), T.StructField("depth_scale", T.DoubleType())])
-    text = spark.read.text(path, wholetext=True)
-    frames = text.select(F.explode(F.from_json("value", T.MapType(T.StringType(), camera))).alias("frame", "c"))
+    frames = texts.select(F.explode(F.from_json("value", T.MapType(T.StringType(), camera))).alias("frame", "c"))
     return frames.select(F.col("frame").cast("int").alias("frame"), F.lpad("frame", 6, "0").alias("name"), "c.cam_K", "c.depth_scale")
 
 
@@ -103,16 +111,53 @@ def read_scene_poses(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_masklets(spark: SparkSession, path: str, every: int = 1) -> DataFrame:
-    """Nested masklet JSON -> one row for each annotated frame (every n-th) and object: video_id, frame, object_id, size, counts."""
+    """Nested masklet JSON files -> one row for each annotated frame (every n-th) and object."""
+    return masklets(spark.read.text(path, wholetext=True), every)
+
+
+def masklets(texts: DataFrame, every: int = 1) -> DataFrame:
+    """Masklet JSON texts (value) -> video_id, frame, object_id, size, counts; an object without an id has its place as id."""
     rle = T.StructType([T.StructField("size", T.ArrayType(T.IntegerType())), T.StructField("counts", T.StringType())])
     schema = T.StructType([T.StructField("video_id", T.StringType()), T.StructField("masklet_id", T.ArrayType(T.IntegerType())), T.StructField("masklet", T.ArrayType(T.ArrayType(rle)))])
-    raw = spark.read.schema(schema).option("multiLine", True).json(path)
+    raw = texts.select(F.from_json("value", schema).alias("j")).select("j.*")
     frames = raw.select("video_id", "masklet_id", F.posexplode("masklet").alias("annotation", "objects"))
     return frames.select("video_id", (F.col("annotation") * every).alias("frame"), F.posexplode("objects").alias("at", "m"), "masklet_id").select(
         "video_id", "frame", F.coalesce(F.get("masklet_id", F.col("at")), F.col("at")).alias("object_id"), "m.size", "m.counts"
     )
 
 
+def with_missing_masks(frames: DataFrame, objects: DataFrame, masks: DataFrame, clip: str, frame: str, object_id: str, pixels: Column) -> DataFrame:
+    """A row for every frame of a clip and object of the clip: where there is no mask, an empty one of `pixels` (counts: one run)."""
+    planned = frames.select(clip, frame).join(objects.select(clip, object_id), clip)
+    return planned.join(masks, [clip, frame, object_id], "left").withColumn("counts", F.coalesce("counts", F.array(pixels.cast("int"))))
+
+
+def amodal_annotations(texts: DataFrame) -> DataFrame:
+    """Annotation JSON texts (value) -> one row for each annotation whose image is listed: video_id, frame, track_id, size, counts,
+    box and amodal_box (x, y, w, h)."""
+    boxes = "bbox array<double>, amodal_bbox array<double>"
+    schema = f"images array<struct<id: bigint, video_id: bigint, frame_index: bigint>>, annotations array<struct<image_id: bigint, track_id: bigint, segmentation: struct<size: array<int>, counts: string>, {boxes.replace(' array', ': array')}>>"
+    raw = texts.select(F.from_json("value", schema).alias("j"))
+    image = F.expr("map_from_entries(transform(j.images, x -> struct(x.id, struct(x.video_id, x.frame_index))))")
+    rows = raw.select(image.alias("image"), F.explode("j.annotations").alias("a")).select(F.try_element_at("image", F.col("a.image_id")).alias("i"), "a").where("i is not null")
+    return rows.select("i.video_id", F.col("i.frame_index").alias("frame"), "a.track_id", "a.segmentation.size", "a.segmentation.counts", F.col("a.bbox").alias("box"), F.col("a.amodal_bbox").alias("amodal_box"))
+
+
+def write_version(manifest: DataFrame, root: str, version: int) -> None:
+    """A new version of a manifest in a folder of its own: readers of the versions before are not disturbed."""
+    manifest.write.mode("overwrite").parquet(f"{root.rstrip('/')}/version={version}")
+
+
+def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
+    return spark.read.parquet(f"{root.rstrip('/')}/version={version}")
+
+
+def pose_lines(pose: Column) -> Column:
+    """A flat 4 x 4 pose as text: four lines of four numbers of six decimals."""
+    row = lambda i: F.array_join(F.transform(F.slice(pose, F.lit(4) * i + 1, F.lit(4)), lambda x: F.format_string("%.6f", x.cast("double"))), " ")
+    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), row), "\n")
+
+
 def read_train_log(spark: SparkSession, path: str) -> DataFrame:
     """json-lines log -> (epoch, metric, values in line order); lines without an epoch are left out."""
     raw = spark.read.text(path).select(F.monotonically_increasing_id().alias("line"), F.from_json("value", "map<string,string>").alias("m")).where("m['epoch'] is not null")

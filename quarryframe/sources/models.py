@@ -40,3 +40,21 @@ def for_each_row(df: DataFrame, key: str, work: Callable[[dict], dict | None], f
             yield pd.DataFrame(out, columns=[key, *names, "error"])
 
     return df.mapInPandas(run, f"{key} {kind}, {fields}, error string")
+
+
+def first_that_works(decoders: list[Callable[[dict], dict | None]]) -> Callable[[dict], dict | None]:
+    """Work for `for_each_row` that tries decoders in turn; the record tells by `level` which one it came from. If none works, the
+    last one's exception is reported."""
+
+    def work(row: dict) -> dict | None:
+        last: Exception | None = None
+        for level, decode in enumerate(decoders):
+            try:
+                record = decode(row)
+            except Exception as error:  # the next decoder may do
+                last = error
+                continue
+            return None if record is None else {**record, "level": level}
+        raise last or ValueError("no decoder")
+
+    return work
