@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+SAMPLE_PER_RANGE = 100
+
 
 def elapsed_seconds(text: Column) -> Column:
     """Seconds of an elapsed-time string `HH:MM:SS[.f]`; NULL if it can't be parsed."""
@@ -42,14 +44,24 @@ def md5_shard(key: Column, shards: int) -> Column:
     return reduce(lambda acc, i: F.pmod(acc * F.lit((1 << 32) % shards) + word(i), F.lit(shards)), range(4), F.lit(0).cast("long"))
 
 
-def with_global_rank(df: DataFrame, order: list[str], name: str = "rank", buckets: int = 64, bucket_by: str | None = None) -> DataFrame:
-    """0-based rank over all rows without a window over everything: rows are range-dealt by the order, ranked inside each
-    range, and shifted by the ranges' counts (a table of as many rows as there are ranges)."""
-    parted = df.repartitionByRange(buckets, *order).withColumn("_part", F.spark_partition_id())
-    parted = parted.withColumn("_at", F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1)
-    sizes = parted.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_part", "_before")
-    return parted.join(F.broadcast(before), "_part").withColumn(name, F.col("_at") + F.col("_before")).drop("_part", "_at", "_before")
+def with_global_rank(df: DataFrame, order: list[str], name: str = "rank", buckets: int = 64) -> DataFrame:
+    """0-based rank over all rows without a window over everything: rows are dealt to ranges of the order, ranked inside each
+    range, and shifted by the ranges' counts (one number for each range).
+
+    The ranges' bounds come from a bounded sample (`SAMPLE_PER_RANGE` rows for each range) and are literals of the plan, so a row's
+    range follows from its key alone; a range exchange would sample anew for each branch of the plan, and the counts would
+    belong to other ranges than the ranks. Nulls come first; rows equal in the order share a range and rank in any order.
+    """
+    kinds = {f.name: f.dataType for f in df.select(*order).schema}
+    sample = df.select(*order).orderBy(F.rand(1)).limit(buckets * SAMPLE_PER_RANGE).orderBy(*order).collect()
+    bounds = sorted({len(sample) * i // buckets for i in range(1, buckets)} if sample else set())
+    ends = [F.struct(*[F.lit(sample[i][c]).cast(kinds[c]).alias(c) for c in order]) for i in bounds]
+    own = F.struct(*order)
+    parted = df.withColumn("_part", F.size(F.filter(F.array(*ends), lambda end: end <= own)) if ends else F.lit(0))
+    sizes = {r["_part"]: r["count"] for r in parted.groupBy("_part").count().collect()}  # at most `buckets` rows
+    before = [sum(sizes.get(i, 0) for i in range(part)) for part in range(buckets)]
+    at = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    return parted.withColumn(name, at + F.get(F.array(*[F.lit(n).cast("long") for n in before]), F.col("_part"))).drop("_part")
 
 
 def rank_split(rank: Column, rows: Column | int, world: int) -> Column:

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from quarryframe.operators import images, masks, selection, stateful
+from quarryframe.operators import images, manifest, masks, selection, stateful
 from quarryframe.session import table
 
 from .metrics import _run_masks
@@ -44,8 +44,8 @@ def work_units(spark, d):
 
 @query("numeric_stem_order", "R8 O1 R1", "SELECT stem, row_number() OVER (ORDER BY CAST(stem AS INT)) AS rank FROM (SELECT CAST(n_nationkey AS VARCHAR) AS stem FROM nation)")
 def numeric_stem_order(spark, d):
-    stems = table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("stem")).withColumn("part", F.lit(0))
-    return stems.withColumn("rank", F.row_number().over(Window.partitionBy("part").orderBy(F.col("stem").cast("int"))).cast("long")).drop("part")
+    stems = table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("stem"), F.col("n_nationkey").cast("int").alias("number"))
+    return manifest.with_global_rank(stems, ["number"]).select("stem", (F.col("rank") + 1).alias("rank"))
 
 
 @query("mixture", "U7", None)

@@ -396,3 +396,28 @@ def test_image_functions():
     assert len(images.contiguous_frames(10, 4, 0.5, 3)) == 4
     with pytest.raises(ValueError):
         images.contiguous_frames(2, 4, 0.5, 3)
+
+
+def test_global_rank_of_many_rows(spark):
+    """Enough rows that a range exchange would sample them, with nulls and ties."""
+    rows = spark.range(0, 200_000, 1, 4).select(F.when(F.col("id") % 1000 > 0, F.xxhash64(F.col("id") % 150_000)).alias("k"), F.col("id").alias("i"))
+    got = manifest.with_global_rank(rows, ["k", "i"]).select("k", "i", "rank").toPandas().sort_values("rank")
+    assert got["rank"].tolist() == list(range(200_000))
+    pairs = [(math.isnan(k), k, i) for k, i in zip(got["k"].iloc[200:2200], got["i"].iloc[200:2200])]
+    assert got["k"].iloc[:200].isna().all() and pairs == sorted(pairs)
+    assert manifest.with_global_rank(rows.limit(0), ["k"]).count() == 0
+    single = manifest.with_global_rank(spark.range(0, 100_000, 1, 4).select(F.xxhash64("id").alias("k")), ["k"]).toPandas()
+    assert (single.sort_values("k")["rank"].to_numpy() == np.arange(100_000)).all()
+
+
+def test_decoders_in_turn_and_missing_masks(spark):
+    work = models.first_that_works([lambda r: {"n": int(r["x"])}, lambda r: None if r["x"] == "skip" else {"n": {"one": 1}[r["x"]]}])
+    assert work({"x": "7"}) == {"n": 7, "level": 0} and work({"x": "one"}) == {"n": 1, "level": 1} and work({"x": "skip"}) is None
+    with pytest.raises(KeyError):
+        work({"x": "none"})
+    texts = spark.createDataFrame([(None,), ("{}",), ('{"images": [], "annotations": [{"image_id": 1}]}',), ("not json",)], "value string")
+    assert files.amodal_annotations(texts).count() == 0 and files.masklets(texts).count() == 0 and files.scene_cameras(texts.limit(2)).count() == 0
+    planned, objects = spark.createDataFrame([("a", 0), ("a", 1)], "clip string, frame int"), spark.createDataFrame([("a", 5)], "clip string, obj int")
+    found = spark.createDataFrame([("a", 1, 5, [2, 3])], "clip string, frame int, obj int, counts array<int>")
+    got = files.with_missing_masks(planned, objects, found, "clip", "frame", "obj", F.lit(5)).orderBy("frame").collect()
+    assert [r.counts for r in got] == [[5], [2, 3]]
