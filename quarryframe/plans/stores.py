@@ -91,14 +91,8 @@ def scene_cameras(spark, d):
     return files.scene_cameras(scenes).select("frame", "name", F.get("cam_K", F.lit(0)).alias("fx"), geometry.clean_depth(depth, 100.0, far_is_valid=True).alias("depth"))
 
 
-@query(
-    "masklet_rows",
-    "R12",
-    f"WITH f AS ({FRAMES}), a AS (SELECT * FROM f WHERE frame < 12) SELECT CAST(clip AS VARCHAR) AS video_id, 4 * frame AS frame, o AS object_id, CASE WHEN (event_id + o) % 3 = 0 THEN 0 ELSE o + 1 END AS area FROM a, (VALUES (1), (2)) v(o)",
-)
-def masklet_rows(spark, d):
+def _masklet_rows(f):
     """Masklet JSON of annotated frames (every fourth); an object without a mask in a frame gets an empty one."""
-    f = frames(spark, d).where("frame < 12")
     rle = lambda o: F.struct(F.array(F.lit(4), F.lit(5)).alias("size"), F.when((F.col("event_id") + o) % 3 != 0, F.lit(masks.to_compressed([2, o + 1, 17 - o]))).alias("counts"))
     annotated = f.select("clip", F.struct("frame", F.array(rle(1), rle(2)).alias("m")).alias("a")).groupBy("clip").agg(F.sort_array(F.collect_list("a")).alias("a"))
     text = F.to_json(F.struct(F.col("clip").cast("string").alias("video_id"), F.array(F.lit(1), F.lit(2)).alias("masklet_id"), F.transform("a", lambda x: x["m"]).alias("masklet")))
@@ -114,6 +108,25 @@ def masklet_rows(spark, d):
     return files.with_missing_masks(planned, clips, present, "video_id", "frame", "object_id", F.lit(20)).select("video_id", F.col("frame").cast("long").alias("frame"), "object_id", masks.area(F.col("counts")).alias("area"))
 
 
+@query(
+    "masklet_rows",
+    "R12",
+    f"WITH f AS ({FRAMES}), a AS (SELECT * FROM f WHERE frame < 12) SELECT CAST(clip AS VARCHAR) AS video_id, 4 * frame AS frame, o AS object_id, CASE WHEN (event_id + o) % 3 = 0 THEN 0 ELSE o + 1 END AS area FROM a, (VALUES (1), (2)) v(o)",
+)
+def masklet_rows(spark, d):
+    """The slice that the oracle states: the first 12 frames of each clip. `masklet_rows_all` takes all frames."""
+    return _masklet_rows(frames(spark, d).where("frame < 12"))
+
+
+@query(
+    "masklet_rows_all",
+    "R12",
+    f"WITH a AS ({FRAMES}) SELECT CAST(clip AS VARCHAR) AS video_id, 4 * frame AS frame, o AS object_id, CASE WHEN (event_id + o) % 3 = 0 THEN 0 ELSE o + 1 END AS area FROM a, (VALUES (1), (2)) v(o)",
+)
+def masklet_rows_all(spark, d):
+    return _masklet_rows(frames(spark, d))
+
+
 @query("amodal_rows", "R19", "SELECT s_nationkey AS video_id, s_suppkey AS frame, s_suppkey * 10 AS track_id, 6 AS area, s_suppkey + 0.5 AS x, s_suppkey % 7 + 4.0 AS amodal_w FROM supplier")
 def amodal_rows(spark, d):
     """Amodal annotation JSON of one video each; an annotation of an unlisted image is left out."""
