@@ -25,13 +25,18 @@ MARKS = (
     "sidebar side rail widget widgets menu nav navbar navigation breadcrumb breadcrumbs toc pagination pager header masthead topbar footer bottom copyright legal comment comments "
     "reply replies respond disqus discussion related recommended recommendations share sharing social newsletter subscribe subscription signup login search skip toolbar tags meta byline complementary contentinfo"
 )
-_MARKED = re.compile(r"(?:^|\s)(?!(?:has|with|no|without|not)[-_])(?:[a-z0-9]+[-_]+){0,3}?(?:" + "|".join(MARKS.split()) + r")(?:[-_][a-z0-9_-]*|\d*)?(?=\s|$)")
+#: Parts of a name that say what a container has or how it is laid out, so that the words after them mark nothing.
+_UNMARKED = r"(?!(?:has|with|no|without|not|layout)[-_]|side[-_]by[-_]side|(?:post|entry|article|story)[-_]+header|elementor[-_]+widget)"
+_MARKED = re.compile(r"(?:^|\s)(?:" + _UNMARKED + r"[a-z0-9]+[-_]+){0,3}?" + _UNMARKED + "(?:" + "|".join(MARKS.split()) + r")(?:[-_][a-z0-9_-]*|\d*)?(?=\s|$)")
+#: Marked containers whose articles are not the page's own.
+_OTHERS = re.compile(r"(?:^|[\s_-])(?:comments?|repl(?:y|ies)|respond|disqus|discussion|related|recommended|recommendations|ads?|adverts?|advertisement|sponsor(?:ed)?|promo|promotion)(?=[\s_-]|$)")
 CONTAINERS = frozenset("html body div section article main table tbody thead tfoot tr td th ul ol dl center figure details header content".split())
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote address figcaption caption summary hr br".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 WHOLE = frozenset("html body article main".split())
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<(script|style|noscript|template|svg|textarea|iframe)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|$)"
+    r"<!--.*?(?:-->|$)|<(script|style|noscript|template|textarea|iframe)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|$)"
+    r"|<svg\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<!/)>.*?(?:</svg\s*>|$)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
     re.S | re.I,
 )
@@ -41,16 +46,18 @@ _DIGITS = re.compile(r"\d+")
 LEAST_SHARE = 50  # a path needs 1/50 of its host's votes to be a winner or a stand-in: at most 50 for each host
 
 
-def parse(page: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, str]]]:
+def parse(page: str, marks: bool = True) -> tuple[list[tuple[str, int, int]], list[tuple[int, str]]]:
     """(blocks, nodes). A block: text, characters of it inside links, its container; a node: its parent, its generalised path.
 
-    Missing end tags are repaired as browsers do for the common cases: a block ends an open p, an item the one before.
+    Missing end tags are repaired as browsers do for the common cases: a block ends an open p, an item the one before. An article
+    or main element in a container that is skipped for its mark is not skipped with it. Without `marks` no class, id or role
+    marks a container, and forms are read.
     """
     blocks: list[tuple[str, int, int]] = []
     nodes: list[tuple[int, str]] = [(-1, "")]
-    stack: list[tuple[str, int, bool]] = []  # tag, node at this depth, skipped
+    stack: list[tuple[str, int, int]] = []  # tag, node at this depth, skipped (1: for a mark that does not hold for an article inside)
     buffer: list[str] = []
-    node, skipping, links, link_chars, at = 0, False, 0, 0, 0
+    node, skipping, links, link_chars, at = 0, 0, 0, 0, 0
 
     def flush() -> None:
         nonlocal link_chars
@@ -65,7 +72,7 @@ def parse(page: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, str]]]
         nonlocal node, skipping, links
         links -= sum(x[0] == "a" for x in stack[depth:])
         del stack[depth:]
-        node, skipping = (stack[-1][1], stack[-1][2]) if stack else (0, False)
+        node, skipping = (stack[-1][1], stack[-1][2]) if stack else (0, 0)
 
     def text_until(end: int) -> None:
         nonlocal link_chars
@@ -83,6 +90,8 @@ def parse(page: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, str]]]
         if tag is None:
             continue
         tag = tag.lower()
+        if tag in ("svg", "math") and match[4].endswith("/"):
+            continue
         container = tag in CONTAINERS
         block = container or tag in LEAVES or tag in SKIPPED
         if block:
@@ -108,15 +117,18 @@ def parse(page: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, str]]]
         if tag == "a":
             links += 1
         below, skip = node, skipping
+        if skip == 1 and tag in ("article", "main") and not any(x[0] in ("article", "main") for x in stack):
+            skip = 0
         if not skip and (container or tag in SKIPPED or tag in LEAVES):
             found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(match[4])} if match[4] else {}
-            skip = tag in SKIPPED or tag == "header" and not any(x[0] in ("article", "main") for x in stack)
-            if found and tag not in WHOLE and not skip:
-                skip = any(_MARKED.search(v) for v in found.values())
-            if match[4] and not skip and _HIDDEN.search(re.sub(r"=\s*(\"[^\"]*\"|'[^']*')", lambda m: m[0] if "none" in m[0] else "", match[4])):
-                skip = True
-            if tag in WHOLE and found and re.search(r"(?:^|[\s_-])(?:comments?|reply|ad|ads|related|promo|teaser)(?=[\s_-]|$)", found.get("class", "") + " " + found.get("id", "")) and tag == "article":
-                skip = True
+            if tag in SKIPPED and (marks or tag != "form") or tag == "header" and not any(x[0] in ("article", "main") for x in stack):
+                skip = 2
+            if marks and found and tag not in WHOLE and not skip and any(_MARKED.search(v) for v in found.values()):
+                skip = 2 if any(_OTHERS.search(v) for v in found.values()) else 1
+            if match[4] and skip < 2 and _HIDDEN.search(re.sub(r"=\s*(\"[^\"]*\"|'[^']*')", lambda m: m[0] if "none" in m[0] else "", match[4])):
+                skip = 2
+            if marks and tag in WHOLE and found and re.search(r"(?:^|[\s_-])(?:comments?|reply|ad|ads|related|promo|teaser)(?=[\s_-]|$)", found.get("class", "") + " " + found.get("id", "")) and tag == "article":
+                skip = 2
             if container and not skip:
                 classes = ".".join(sorted(_DIGITS.sub("0", found.get("class", "")).split()))
                 nodes.append((node, f"{nodes[node][1]}/{tag}" + (f".{classes}" if classes else "")))
@@ -128,6 +140,12 @@ def parse(page: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, str]]]
     return blocks, nodes
 
 
+def parse_or_all(page: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, str]]]:
+    """`parse`; if the marks leave nothing of the page, without them."""
+    blocks, nodes = parse(page)
+    return (blocks, nodes) if blocks else parse(page, marks=False)
+
+
 def container_scores(blocks: list[tuple[str, int, int]], nodes: list[tuple[int, str]]) -> dict[str, int]:
     """Path -> its share, in thousandths, of the page's net text; nearer containers count more, article and main most."""
     score: dict[str, float] = {}
@@ -162,7 +180,7 @@ def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches, column="html"):
         votes: dict[tuple[str, str], int] = {}
         for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-            for path, share in container_scores(*parse(page)).items() if page else ():
+            for path, share in container_scores(*parse_or_all(page)).items() if page else ():
                 votes[host, path] = votes.get((host, path), 0) + share
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in votes], pa.string()), pa.array([k[1] for k in votes], pa.string()), pa.array(list(votes.values()), pa.int64())], names=["host", "path", "votes"])
 
@@ -173,7 +191,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for page, paths in zip(batch.column("html").to_pylist(), batch.column("paths").to_pylist()):
             text = ""
             if page:
-                blocks, nodes = parse(page)
+                blocks, nodes = parse_or_all(page)
                 there = {nodes[n][1] for n in _with_ancestors({b[2] for b in blocks}, nodes)}
                 path = next((p for p in paths or () if p in there), None) or _best(container_scores(blocks, nodes))
                 text = take(blocks, nodes, path) if path else "\n".join(b[0] for b in blocks)

@@ -14,3 +14,35 @@ def test_masklets_of_all_frames(spark):
 
     got = REGISTRY["masklet_rows_all"].build(spark, FOLDER)
     assert got.count() == 2 * spark.read.parquet(f"{FOLDER}/events.parquet").count()
+
+
+ARTICLE = "<p>The text of the article.</p>"
+WRAPPERS = [
+    f'<svg class="logo"/><article>{ARTICLE}</article>',
+    f'<div class="content-with-sidebar">{ARTICLE}</div>',
+    f'<div class="page-no-sidebar">{ARTICLE}</div>',
+    f'<div class="layout-sidebar-right">{ARTICLE}</div>',
+    f'<div class="side-by-side">{ARTICLE}</div>',
+    f'<div class="elementor-widget elementor-widget-text">{ARTICLE}</div>',
+    f'<div class="post-header">{ARTICLE}</div>',
+    f'<div class="widget-area"><p>About us</p><article>{ARTICLE}</article></div>',
+    f'<div class="topbar wrapper"><main>{ARTICLE}</main></div>',
+    f'<div class="rail-2">{ARTICLE}</div>',
+    f"<form>{ARTICLE}</form>",
+]
+
+
+def test_articles_in_odd_wrappers(spark):
+    from quarryframe.llm import html
+
+    side = '<div class="sidebar-with-ads">side</div><div class="related"><article>teaser</article></div>'
+    rows = [(i, f"http://{i}.example/", f"<html><body>{w}{side}</body></html>") for i, w in enumerate(WRAPPERS)]
+    got = {x.page_id: x.text for x in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, w in enumerate(WRAPPERS):
+        assert got[i].split("\n")[0] == "The text of the article.", w
+
+
+def test_inline_svg_does_not_part_a_block():
+    from quarryframe.llm import html
+
+    assert [b[0] for b in html.parse("<p>one <svg a='/x'/>two <svg><text>no</text></svg>three</p>")[0]] == ["one two three"]
