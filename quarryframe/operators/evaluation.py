@@ -124,3 +124,29 @@ def first_in_voxel(points: DataFrame, by: Sequence[str], x: str, y: str, z: str,
     cell = [F.floor(F.col(c) / size).alias(f"_{c}") for c in (x, y, z)]
     keyed = points.select("*", *cell)
     return keyed.groupBy(*by, f"_{x}", f"_{y}", f"_{z}").agg(F.min_by(F.struct(*points.columns), index).alias("_p")).select("_p.*")
+
+
+def occluded_miou(values: DataFrame, intersect: str, union: str, by: Sequence[str] = (), least: float = 1e-6) -> DataFrame:
+    """Mean IoU, and its mean over the values that are at least `least` (NaN if there are none)."""
+    iou = F.col(intersect) / (F.col(union) + F.lit(1e-6))
+    return values.groupBy(*by).agg(F.avg(iou).alias("miou"), F.coalesce(F.avg(F.when(iou >= least, iou)), F.lit(NAN)).alias("miou_occ"))
+
+
+def depth_rmse(pixels: DataFrame, rendered: str, observed: str, inside: Column, by: Sequence[str] = ()) -> DataFrame:
+    """RMSE over the pixels inside both masks, and the same by the median observed depth; infinity if there are none."""
+    d, o, inf = F.when(inside, F.col(rendered) - F.col(observed)), F.when(inside, F.col(observed)), F.lit(float("inf"))
+    rmse = F.sqrt(F.avg(d * d))
+    return pixels.groupBy(*by).agg(F.coalesce(rmse, inf).alias("rmse"), F.coalesce(rmse / F.greatest(F.median(o), F.lit(1e-6)), inf).alias("rmse_norm"))
+
+
+def point_errors(points: DataFrame, predicted: Sequence[str], truth: Sequence[str], diameter: str, by: Sequence[str] = (), eps: float = 1e-6) -> DataFrame:
+    """Relative error and share within a quarter: of depth (the last coordinate), of points, and of points by a local diameter."""
+    norm = lambda c: F.sqrt(sum((x * x for x in c[1:]), c[0] * c[0]))
+    p, t = [F.col(c) for c in predicted], [F.col(c) for c in truth]
+    err, size_p, size_t, size = norm([a - b for a, b in zip(p, t)]), norm(p), norm(t), F.col(diameter)
+    share = lambda c: F.avg(c.cast("double"))
+    z, w = p[-1], t[-1]
+    return points.groupBy(*by).agg(
+        F.avg(F.abs(z - w) / (w + eps)).alias("rel_depth"), share(F.greatest(ratio(w, z), ratio(z, w)) < 1.25).alias("delta1_depth"), F.avg(err / (size_t + eps)).alias("rel_point"),
+        share(err < 0.25 * F.least(size_t, size_p)).alias("delta1_point"), F.avg(ratio(err, size)).alias("rel_local"), share(err < 0.25 * size).alias("delta1_local"),
+    )

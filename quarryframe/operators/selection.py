@@ -40,6 +40,14 @@ def every_nth(df: DataFrame, keys: Sequence[str], order: Sequence[str], rate: in
     return (out.where(F.col("_at") < limit * rate) if limit else out).drop("_at")
 
 
+def objects_of_first_frame(df: DataFrame, keys: Sequence[str], frame: str, obj: str) -> DataFrame:
+    """All frames, and of the objects those of each key's first frame (null: a frame without objects); an error if it has none."""
+    first = df.groupBy(*keys).agg(F.min(F.struct(frame, F.col(obj).isNull().alias("none"))).alias("_first"))
+    guard = F.when(F.col("_first.none"), F.raise_error(F.lit("First frame of the video has no objects"))).otherwise(F.col(f"_first.{frame}"))
+    kept = df.join(first.select(*keys, guard.alias("_first")), list(keys)).where((F.col(frame) == F.col("_first")) & F.col(obj).isNotNull()).select(*keys, obj).distinct()
+    return df.join(kept, [*keys, obj], "left_semi").select(df.columns)
+
+
 def hash_sample(df: DataFrame, key: Sequence[str], n: int, seed: int = 0) -> DataFrame:
     """n rows without replacement, uniform over seeds: those with the smallest seeded hash. Repeatable, and a top-k in the plan."""
     return df.orderBy(F.xxhash64(*key, F.lit(seed)), *key).limit(n)

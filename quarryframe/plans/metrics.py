@@ -47,7 +47,7 @@ def confusion_matrix(spark, d):
     return ev.confusion(table(spark, d, "labels"), "toxic", "quality")
 
 
-@query("depth_metrics", "A17 A25", "WITH r AS (SELECT l_returnflag, l_extendedprice / 1000 AS t, l_extendedprice * (1 - l_discount) * (1 + l_tax) / 1000 AS p FROM lineitem), o AS (SELECT *, greatest(t / p, p / t) AS off, ln(p) - ln(t) AS g FROM r WHERE p > 0 AND t > 0) SELECT l_returnflag, round(count(*) FILTER (off < 1.05) / count(*), 6) AS close, round(count(*) FILTER (off < 1.25) / count(*), 6) AS d1, round(count(*) FILTER (off < pow(1.25, 2)) / count(*), 6) AS d2, round(count(*) FILTER (off < pow(1.25, 3)) / count(*), 6) AS d3, round(avg(abs(p - t) / t), 6) AS abs_rel, round(avg(pow(p - t, 2) / t), 6) AS sq_rel, round(sqrt(avg(pow(p - t, 2))), 6) AS rmse, round(sqrt(avg(g * g)), 6) AS rmse_log, round(avg(abs(log10(p) - log10(t))), 6) AS log10, round(sqrt(avg(g * g) - 0.5 * pow(avg(g), 2)), 6) AS silog FROM o GROUP BY 1")
+@query("depth_metrics", "A17", "WITH r AS (SELECT l_returnflag, l_extendedprice / 1000 AS t, l_extendedprice * (1 - l_discount) * (1 + l_tax) / 1000 AS p FROM lineitem), o AS (SELECT *, greatest(t / p, p / t) AS off, ln(p) - ln(t) AS g FROM r WHERE p > 0 AND t > 0) SELECT l_returnflag, round(count(*) FILTER (off < 1.05) / count(*), 6) AS close, round(count(*) FILTER (off < 1.25) / count(*), 6) AS d1, round(count(*) FILTER (off < pow(1.25, 2)) / count(*), 6) AS d2, round(count(*) FILTER (off < pow(1.25, 3)) / count(*), 6) AS d3, round(avg(abs(p - t) / t), 6) AS abs_rel, round(avg(pow(p - t, 2) / t), 6) AS sq_rel, round(sqrt(avg(pow(p - t, 2))), 6) AS rmse, round(sqrt(avg(g * g)), 6) AS rmse_log, round(avg(abs(log10(p) - log10(t))), 6) AS log10, round(sqrt(avg(g * g) - 0.5 * pow(avg(g), 2)), 6) AS silog FROM o GROUP BY 1")
 def depth_metrics(spark, d):
     l = table(spark, d, "lineitem").select("l_returnflag", (F.col("l_extendedprice") / 1000).alias("t"), (F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")) / 1000).alias("p"))
     out = ev.depth_metrics(l, "p", "t", ["l_returnflag"])
@@ -57,6 +57,13 @@ def depth_metrics(spark, d):
     return out.join(near, "l_returnflag").select("l_returnflag", *[F.round(c, 6).alias(c) for c in names])
 
 
+@query("depth_rmse", "A25", "WITH r AS (SELECT l_returnflag, l_extendedprice * (1 - l_discount) / 1000 AS p, l_extendedprice / 1000 AS t FROM lineitem WHERE l_quantity > 25 AND l_linenumber < 5) SELECT l_returnflag, round(sqrt(avg(pow(p - t, 2))), 6) AS rmse, round(sqrt(avg(pow(p - t, 2))) / greatest(median(t), 1e-6), 6) AS rmse_norm FROM r GROUP BY 1")
+def depth_rmse(spark, d):
+    price = F.col("l_extendedprice")
+    l = table(spark, d, "lineitem").select("l_returnflag", (price * (1 - F.col("l_discount")) / 1000).alias("p"), (price / 1000).alias("t"), (F.col("l_quantity") > 25).alias("a"), (F.col("l_linenumber") < 5).alias("b"))
+    return ev.depth_rmse(l, "p", "t", F.col("a") & F.col("b"), ["l_returnflag"]).select("l_returnflag", F.round("rmse", 6).alias("rmse"), F.round("rmse_norm", 6).alias("rmse_norm"))
+
+
 _BOXES = "SELECT p_partkey, p_size AS x, p_size % 7 AS y, p_size + 4 AS w, p_size % 9 + 3 AS h, p_size + p_partkey % 5 AS x2, p_size % 7 + p_partkey % 3 AS y2, p_size + 6 AS w2, p_size % 9 + 2 AS h2 FROM part"
 _IOU = "SELECT *, greatest(least(x + w, x2 + w2) - greatest(x, x2), 0) * greatest(least(y + h, y2 + h2) - greatest(y, y2), 0) AS common FROM b"
 
@@ -73,13 +80,36 @@ def box_iou(spark, d):
     return _boxes(spark, d).withColumn("box", box).select("p_partkey", F.round("iou", 6).alias("iou"), F.col("box.x0").cast("int").alias("x0"), F.col("box.x1").cast("int").alias("x1"))
 
 
-@query("ap_at_iou", "A15 A16", f"WITH b AS ({_BOXES}), c AS ({_IOU}), i AS (SELECT common / (w * h + w2 * h2 - common) AS iou, x % 3 AS g FROM c) SELECT g, round(avg(iou), 6) AS mean, round(count(*) FILTER (iou > 0.25) / count(*), 6) AS ap25, round(count(*) FILTER (iou > 0.5) / count(*), 6) AS ap50, round(count(*) FILTER (iou > 0.75) / count(*), 6) AS ap75 FROM i GROUP BY g")
+@query("ap_at_iou", "A15", f"WITH b AS ({_BOXES}), c AS ({_IOU}), i AS (SELECT common / (w * h + w2 * h2 - common) AS iou, x % 3 AS g FROM c) SELECT g, round(avg(iou), 6) AS mean, round(count(*) FILTER (iou > 0.25) / count(*), 6) AS ap25, round(count(*) FILTER (iou > 0.5) / count(*), 6) AS ap50, round(count(*) FILTER (iou > 0.75) / count(*), 6) AS ap75 FROM i GROUP BY g")
 def ap_at_iou(spark, d):
     out = ev.precision_at(_boxes(spark, d).withColumn("g", F.col("x") % 3), "iou", [0.25, 0.5, 0.75], ["g"])
     return out.select("g", *[F.round(c, 6).alias(c) for c in ("mean", "ap25", "ap50", "ap75")])
 
 
-@query("add_auc", "A19 A18", "WITH e AS (SELECT l_returnflag AS k, l_discount AS e FROM lineitem), n AS (SELECT k, count(*) AS n FROM e GROUP BY 1), t AS (SELECT i FROM range(0, 101) t(i)), a AS (SELECT n.k, t.i, (SELECT count(*) FROM e WHERE e.k = n.k AND e.e <= t.i * 0.001 + 1e-12) / n.n AS acc FROM n, t), b AS (SELECT k, i, acc, lag(acc) OVER (PARTITION BY k ORDER BY i) AS p FROM a) SELECT k, round(sum((acc + p) / 2) / 100, 6) AS auc FROM b WHERE p IS NOT NULL GROUP BY k")
+@query("occluded_miou", "A16", f"WITH b AS ({_BOXES}), c AS ({_IOU}), i AS (SELECT x % 3 AS g, CASE WHEN p_partkey % 4 = 0 THEN 0 ELSE common END / (w * h + w2 * h2 - common + 1e-6) AS v FROM c) SELECT g, round(avg(v), 6) AS miou, round(avg(v) FILTER (v >= 1e-6), 6) AS miou_occ FROM i GROUP BY g")
+def occluded_miou(spark, d):
+    """Of every fourth object nothing that is hidden was found."""
+    b, both = _boxes(spark, d), F.col("w") * F.col("h") + F.col("w2") * F.col("h2")
+    common = F.greatest(F.least(F.col("x") + F.col("w"), F.col("x2") + F.col("w2")) - F.greatest("x", "x2"), F.lit(0)) * F.greatest(F.least(F.col("y") + F.col("h"), F.col("y2") + F.col("h2")) - F.greatest("y", "y2"), F.lit(0))
+    i = b.select((F.col("x") % 3).alias("g"), F.when(F.col("p_partkey") % 4 == 0, 0).otherwise(common).alias("common"), (both - common).alias("union"))
+    return ev.occluded_miou(i, "common", "union", ["g"]).select("g", F.round("miou", 6).alias("miou"), F.round("miou_occ", 6).alias("miou_occ"))
+
+
+@query(
+    "point_errors", "A18",
+    """WITH e AS (SELECT label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), p AS (SELECT label, v[1] AS x, v[2] AS y, v[3] + 2 AS z, v[1] + v[4] AS a, v[2] + v[5] AS b, v[3] + 2 + v[6] AS c, 0.5 + abs(v[7]) AS s FROM e),
+    n AS (SELECT *, sqrt((a - x) * (a - x) + (b - y) * (b - y) + (c - z) * (c - z)) AS e, sqrt(x * x + y * y + z * z) AS t, sqrt(a * a + b * b + c * c) AS p FROM p)
+    SELECT label, round(avg(abs(c - z) / (z + 1e-6)), 5) AS rel_depth, round(avg(CAST(greatest(z / c, c / z) < 1.25 AS INT)), 5) AS delta1_depth, round(avg(e / (t + 1e-6)), 5) AS rel_point,
+    round(avg(CAST(e < 0.25 * least(t, p) AS INT)), 5) AS delta1_point, round(avg(e / s), 5) AS rel_local, round(avg(CAST(e < 0.25 * s AS INT)), 5) AS delta1_local FROM n GROUP BY label""",
+)
+def point_errors(spark, d):
+    v = [F.col("embedding")[i].cast("double") for i in range(7)]
+    p = table(spark, d, "embeddings").select("label", v[0].alias("x"), v[1].alias("y"), (v[2] + 2).alias("z"), (v[0] + v[3]).alias("a"), (v[1] + v[4]).alias("b"), (v[2] + 2 + v[5]).alias("c"), (F.abs(v[6]) + 0.5).alias("s"))
+    out = ev.point_errors(p, ["a", "b", "c"], ["x", "y", "z"], "s", ["label"])
+    return out.select("label", *[F.round(c, 5).alias(c) for c in out.columns[1:]])
+
+
+@query("add_auc", "A19", "WITH e AS (SELECT l_returnflag AS k, l_discount AS e FROM lineitem), n AS (SELECT k, count(*) AS n FROM e GROUP BY 1), t AS (SELECT i FROM range(0, 101) t(i)), a AS (SELECT n.k, t.i, (SELECT count(*) FROM e WHERE e.k = n.k AND e.e <= t.i * 0.001 + 1e-12) / n.n AS acc FROM n, t), b AS (SELECT k, i, acc, lag(acc) OVER (PARTITION BY k ORDER BY i) AS p FROM a) SELECT k, round(sum((acc + p) / 2) / 100, 6) AS auc FROM b WHERE p IS NOT NULL GROUP BY k")
 def add_auc(spark, d):
     e = table(spark, d, "lineitem").select(F.col("l_returnflag").alias("k"), F.col("l_discount").alias("e"))
     return ev.auc(e, "e", ["k"], 0.1, 0.001).withColumn("auc", F.round("auc", 6))
@@ -188,7 +218,7 @@ def mask_morphology(spark, d):
     return rows.mapInPandas(run, "clip long, area long, opened_area long, n_components long, boundary_pixels long, boundary_f double")
 
 
-@query("chamfer_distance", "A27 J18 A28", None)
+@query("chamfer_distance", "A27 J18", None)
 def chamfer_distance(spark, d):
     """Chamfer distance between the points (three vector dimensions) of neighbouring labels."""
     import numpy as np
@@ -206,7 +236,7 @@ def chamfer_distance(spark, d):
     return both.groupBy("label").applyInPandas(run, "label int, chamfer double")
 
 
-@query("pose_clusters", "S4 S9", None)
+@query("pose_clusters", "S4", None)
 def pose_clusters(spark, d):
     import numpy as np
     import pandas as pd
@@ -229,6 +259,75 @@ def pose_clusters(spark, d):
     return e.groupBy("label").applyInPandas(run, "label int, vec_id long, founder long")
 
 
+def _objects(spark, d) -> DataFrame:
+    """Points of objects of 64 vectors each."""
+    return table(spark, d, "embeddings").select(F.expr("vec_id div 64").alias("object"), "vec_id", F.slice("embedding", 1, 4).cast("array<double>").alias("p"))
+
+
+@query("point_spans", "A28", None)
+def point_spans(spark, d):
+    """Hull diameter, span along the first principal axis and visible diameter of each object."""
+    import numpy as np
+    import pandas as pd
+
+    from quarryframe.operators.stateful import hull_diameter, pca_span, visible_diameter
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        p = np.array(group["p"].tolist())[:, :3]
+        return pd.DataFrame({"object": [group["object"].iloc[0]], "hull": [hull_diameter(p)], "span": [pca_span(p)], "visible": [visible_diameter(p)]})
+
+    return _objects(spark, d).groupBy("object").applyInPandas(run, "object long, hull double, span double, visible double")
+
+
+@query("scene_normalisation", "S9", None)
+def scene_normalisation(spark, d):
+    """Translation and scale that bring each object's biggest cluster of points into the unit box."""
+    import numpy as np
+    import pandas as pd
+
+    from quarryframe.operators.stateful import scene_normalisation
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        p = np.array(group.sort_values("vec_id")["p"].tolist())[:, :3]
+        move, scale, keep = scene_normalisation(p)
+        return pd.DataFrame([(group["object"].iloc[0], *move, scale, int(keep.sum()))], columns=["object", "x", "y", "z", "scale", "kept"])
+
+    return _objects(spark, d).groupBy("object").applyInPandas(run, "object long, x double, y double, z double, scale double, kept long")
+
+
+@query("pose_errors", "A19", None)
+def pose_errors(spark, d):
+    """ADD and ADD-S of each object's points under a pose that is turned by its first point's fourth value and shifted."""
+    import numpy as np
+    import pandas as pd
+
+    from quarryframe.operators.stateful import add_error, adds_error
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        p = np.array(group.sort_values("vec_id")["p"].tolist())
+        pose, a = np.eye(4), p[0, 3]
+        pose[:2, :2], pose[:3, 3] = [[np.cos(a), -np.sin(a)], [np.sin(a), np.cos(a)]], 0.01
+        return pd.DataFrame({"object": [group["object"].iloc[0]], "add": [add_error(pose, np.eye(4), p[:, :3])], "adds": [adds_error(pose, np.eye(4), p[:, :3])]})
+
+    return _objects(spark, d).groupBy("object").applyInPandas(run, "object long, add double, adds double")
+
+
+@query("depth_boundary_f1", "A18", None)
+def depth_boundary_f1(spark, d):
+    """Depth edges of each clip (frames as pixels of rows of 10) against those of the same depths cut to whole numbers."""
+    import numpy as np
+    import pandas as pd
+
+    from quarryframe.operators.stateful import depth_boundary_f1
+
+    def run(clip: pd.DataFrame) -> pd.DataFrame:
+        z = clip.sort_values("frame")["value"].to_numpy(float)
+        z = np.pad(z, (0, -len(z) % 10)).reshape(-1, 10)
+        return pd.DataFrame({"clip": [clip["clip"].iloc[0]], "f1": [depth_boundary_f1(np.floor(z), z, np.floor(z) > 0)]})
+
+    return frames(spark, d).select("clip", "frame", "value").groupBy("clip").applyInPandas(run, "clip long, f1 double")
+
+
 @query("bounding_window_rank", "O5 W7", f"WITH f AS ({FRAMES}), c AS (SELECT clip, frame, value, row_number() OVER (PARTITION BY clip ORDER BY value DESC, frame) AS r FROM f) SELECT clip, frame, r AS rank FROM c WHERE r <= 5")
 def bounding_window_rank(spark, d):
     from quarryframe.operators.selection import top_k

@@ -193,11 +193,17 @@ def linspace_candidates(spark, d):
     return n.select("clip", F.explode(selection.linspace_round(F.col("n"), 5)).alias("at")).withColumn("at", F.col("at").cast("long"))
 
 
-@query("subsampled_frames", "R14 N4", f"WITH f AS ({FRAMES}) SELECT clip, frame, event_id FROM f WHERE frame % 4 = 0 AND frame < 40")
+@query("subsampled_frames", "R14", f"WITH f AS ({FRAMES}) SELECT clip, frame, event_id FROM f WHERE frame % 4 = 0 AND frame < 40")
 def subsampled_frames(spark, d):
     return selection.every_nth(frames(spark, d), ["clip"], ["frame"], 4, 10).select("clip", "frame", "event_id")
 
 
+@query("first_frame_objects", "N4", f"WITH f AS ({FRAMES}), o AS (SELECT clip, frame, event_type AS obj FROM f), s AS (SELECT clip, obj FROM o WHERE frame = 0) SELECT clip, frame, obj FROM o SEMI JOIN s USING (clip, obj)")
+def first_frame_objects(spark, d):
+    """All frames of each clip, with the objects (event types) of its first frame."""
+    return selection.objects_of_first_frame(frames(spark, d).select("clip", "frame", F.col("event_type").alias("obj")), ["clip"], "frame", "obj")
+
+
 @query("skip_first_and_last", "F18 F17", f"WITH f AS ({FRAMES}), h AS (SELECT clip, frame, row_number() OVER (PARTITION BY clip ORDER BY frame) AS rn, count(*) OVER (PARTITION BY clip) AS n FROM f WHERE value > 30) SELECT clip, frame FROM h WHERE rn > 1 AND rn < n AND n >= 5")
 def skip_first_and_last(spark, d):
     h = frames(spark, d).where("value > 30").withColumns({"rn": F.row_number().over(Window.partitionBy("clip").orderBy("frame")), "n": F.count("*").over(Window.partitionBy("clip"))})
