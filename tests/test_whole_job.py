@@ -102,3 +102,40 @@ def test_objects_of_the_first_frame(spark):
     assert sorted(map(tuple, got.collect())) == [r for r in rows if r[2] and (r[0], r[2]) != (1, "c")]
     with pytest.raises(Exception, match="no objects"):
         selection.objects_of_first_frame(spark.createDataFrame([(1, 0, None), (1, 1, "a")], clips.schema), ["clip"], "frame", "obj").collect()
+
+
+def test_states_emit_every_word(spark, monkeypatch):
+    """The table has all words, emissions sum to 1, and scores are those of a plain forward recursion, words being joined or not."""
+    import zlib
+
+    from quarryframe.llm import hmm
+
+    monkeypatch.setattr(hmm, "HEAVY_WORDS", 7)
+    draw = np.random.default_rng(4)
+    texts = [" ".join(f"{'ab'[i % 2]}{k}x" for k in draw.zipf(1.5, 60) % 90) + (" unseen" if zlib.crc32(str(i).encode()) % 7 == 2 else "") for i in range(50)] + [""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = [t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2]
+    vocab, _, model, table = hmm.fit(hmm.prepared(docs))
+    rows = table.collect()
+    distinct = {w for t in seen for w in t.split()}
+    assert len(rows) == len(distinct) + 1 and len(vocab.words) < len(distinct)
+    n, expected = np.array([r.n for r in rows]), np.array([[r[x] for x in hmm._S] for r in rows])
+    assert expected.sum(1) == pytest.approx(n, abs=1e-4)
+    emission = hmm.Emission(expected.sum(0), vocab.total, vocab.distinct)
+    unknown = emission(np.zeros(1), np.zeros((1, hmm.STATES)))[0]
+    emit = emission(n, expected)
+    assert emit.sum(0) + unknown == pytest.approx(np.ones(hmm.STATES))
+    import pyarrow as pa
+
+    from quarryframe.llm.textkit import Words
+
+    at = {r.word: k for k, r in enumerate(rows)}
+    key = lambda w: int(Words(pa.array([w])).hashes(lower=True).view(np.int64)[0])
+    end = emit[at[int(np.array(hmm._END).view(np.int64))]]
+    for r in hmm.lm_scores(docs).collect():
+        steps = [emit[at[key(w)]] if key(w) in at else unknown for w in texts[r.doc_id].split()] + [end]
+        state = model.start * steps[0]
+        log = 0.0
+        for e in steps[1:]:
+            log, state = log + math.log10(state.sum()), (state / state.sum()) @ model.move * e
+        assert r.score == pytest.approx(log + math.log10(state.sum()), abs=1e-3)
