@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from .textkit import chunks, text_buffers
 
 SAMPLE = 400
-SAMPLE_CHARS = 24_000_000  # of text that the sample may hold in all; longer samples use fewer rows
 DIMS = 1 << 13
 GRAMS = (1, 2, 3, 4)
 #: Families of ISO 639-1 codes. A code that isn't listed is a family of its own.
@@ -141,18 +140,36 @@ class LanguageModel:
         return names, np.clip(scores, 0, 1)
 
 
+def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in chunks(batches):
+        x = features(batch.column("text")).astype(np.float32)
+        yield pa.RecordBatch.from_arrays([pa.array([row.tobytes() for row in x], pa.binary()), batch.column("lang")], names=["x", "lang"])
+
+
 def fit(docs: DataFrame, lang: str = "lang", sample: int = SAMPLE) -> LanguageModel | None:
-    """Fit on about `sample` rows of each language: those with the smallest hash of doc_id; None without labelled rows."""
+    """Fit on about `sample` rows of each language: those with the smallest hash of doc_id; None without labelled rows.
+
+    Texts longer than their features in the mean are turned into features where they lie, so the sample's size does not
+    depend on the length of texts, and no language has fewer rows for it.
+    """
     labelled = docs.where(F.col(lang).isNotNull() & F.col("text").isNotNull() & (F.length(F.btrim("text")) > 0))
     sizes = labelled.groupBy(lang).agg(F.count("*").alias("n"), F.avg(F.octet_length("text")).alias("bytes")).collect()
     if not sizes:
         return None
-    share = {r[lang]: min(1.0, min(sample, SAMPLE_CHARS / len(sizes) / max(r["bytes"], 1)) / r["n"]) for r in sizes}
+    share = {r[lang]: min(1.0, sample / r["n"]) for r in sizes}
     least = F.create_map(*[F.lit(v) for pair in share.items() for v in pair])
     spot = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    rows = labelled.where(spot < least[F.col(lang)]).select("text", F.col(lang).cast("string").alias("lang")).toArrow()
-    x = np.concatenate([features(part.column("text")) for part in chunks(iter(rows.to_batches()))]) if rows.num_rows else np.empty((0, DIMS), np.float32)
-    langs = np.array(rows.column("lang").to_pylist(), dtype=object)
+    rows = labelled.where(spot < least[F.col(lang)]).select("text", F.col(lang).cast("string").alias("lang"))
+    far = [str(r[lang]) for r in sizes if r["bytes"] > 4 * DIMS]
+    near = rows.where(~F.col("lang").isin(far)).toArrow()
+    x = [features(part.column("text")) for part in chunks(iter(near.to_batches()))]
+    langs = near.column("lang").to_pylist()
+    if far:
+        sent = rows.where(F.col("lang").isin(far)).mapInArrow(_feature_rows, "x binary, lang string").toArrow()
+        x += [np.frombuffer(v, np.float32)[None] for v in sent.column("x").to_pylist()]
+        langs += sent.column("lang").to_pylist()
+    x = np.concatenate(x) if x else np.empty((0, DIMS), np.float32)
+    langs = np.array(langs, dtype=object)
     return LanguageModel.fit(x, langs) if len(langs) else None
 
 

@@ -139,3 +139,19 @@ def test_states_emit_every_word(spark, monkeypatch):
         for e in steps[1:]:
             log, state = log + math.log10(state.sum()), (state / state.sum()) @ model.move * e
         assert r.score == pytest.approx(log + math.log10(state.sum()), abs=1e-3)
+
+
+def test_languages_of_few_long_texts_are_learnt(spark):
+    from quarryframe.llm import language
+
+    words = {"aa": "lorem ipsum dolor", "bb": "quick brown foxes", "cc": "zwei kleine katzen", "dd": "petit chat noir"}
+    rows = [(100 * k + i, f"{w} {i} " * (100_000 if lang == "aa" else 5), lang) for k, (lang, w) in enumerate(words.items()) for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learnt = []
+    fit = language.LanguageModel.fit
+    language.LanguageModel.fit = lambda x, langs: learnt.extend(langs) or fit(x, langs)
+    try:
+        language.fit(docs)
+    finally:
+        language.LanguageModel.fit = fit
+    assert sorted(learnt) == sorted(r[2] for r in rows)
