@@ -28,19 +28,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_path(spark: SparkSession) -> str:
-    """A fresh path in the folder that all executors share (`spark.checkpoint.dir`; made here only where it is unset); it is
-    deleted when the application ends."""
+def shared_folder(spark: SparkSession) -> str:
+    """This application's part of the folder that the driver and all executors share, `spark.checkpoint.dir`.
+
+    In local mode (as in tests) a temporary folder is made where the setting is unset; on a cluster that is an error, because
+    a machine's own folder cannot be read by the others.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="checkpoints-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/quarryframe/{spark.sparkContext.applicationId}-stores/{uuid.uuid4().hex}"
-    atexit.register(_delete, spark, path)
+    return f"{folder.rstrip('/')}/quarryframe/{spark.sparkContext.applicationId}"
+
+
+def shared_path(spark: SparkSession) -> str:
+    """A fresh path in the shared folder; it is deleted when the application ends."""
+    path = f"{shared_folder(spark)}-stores/{uuid.uuid4().hex}"
+    atexit.register(delete_path, spark, path)
     return path
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system that Spark knows; nothing happens if it is gone."""
     try:
         target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

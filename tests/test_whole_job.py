@@ -21,38 +21,6 @@ def test_masklets_of_all_frames(spark):
     assert got.count() == 2 * spark.read.parquet(f"{FOLDER}/events.parquet").count()
 
 
-ARTICLE = "<p>The text of the article.</p>"
-WRAPPERS = [
-    f'<svg class="logo"/><article>{ARTICLE}</article>',
-    f'<div class="content-with-sidebar">{ARTICLE}</div>',
-    f'<div class="page-no-sidebar">{ARTICLE}</div>',
-    f'<div class="layout-sidebar-right">{ARTICLE}</div>',
-    f'<div class="side-by-side">{ARTICLE}</div>',
-    f'<div class="elementor-widget elementor-widget-text">{ARTICLE}</div>',
-    f'<div class="post-header">{ARTICLE}</div>',
-    f'<div class="widget-area"><p>About us</p><article>{ARTICLE}</article></div>',
-    f'<div class="topbar wrapper"><main>{ARTICLE}</main></div>',
-    f'<div class="rail-2">{ARTICLE}</div>',
-    f"<form>{ARTICLE}</form>",
-]
-
-
-def test_articles_in_odd_wrappers(spark):
-    from quarryframe.llm import html
-
-    side = '<div class="sidebar-with-ads">side</div><div class="related"><article>teaser</article></div>'
-    rows = [(i, f"http://{i}.example/", f"<html><body>{w}{side}</body></html>") for i, w in enumerate(WRAPPERS)]
-    got = {x.page_id: x.text for x in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
-    for i, w in enumerate(WRAPPERS):
-        assert got[i].split("\n")[0] == "The text of the article.", w
-
-
-def test_inline_svg_does_not_part_a_block():
-    from quarryframe.llm import html
-
-    assert [b[0] for b in html.parse("<p>one <svg a='/x'/>two <svg><text>no</text></svg>three</p>")[0]] == ["one two three"]
-
-
 def test_spans_and_diameter():
     p = np.random.default_rng(1).normal(size=(3000, 3)) * [5, 1, 1]
     assert stateful.hull_diameter(p[:700]) == pytest.approx(max(np.linalg.norm(p[:700] - q, axis=1).max() for q in p[:700]))
@@ -102,56 +70,3 @@ def test_objects_of_the_first_frame(spark):
     assert sorted(map(tuple, got.collect())) == [r for r in rows if r[2] and (r[0], r[2]) != (1, "c")]
     with pytest.raises(Exception, match="no objects"):
         selection.objects_of_first_frame(spark.createDataFrame([(1, 0, None), (1, 1, "a")], clips.schema), ["clip"], "frame", "obj").collect()
-
-
-def test_states_emit_every_word(spark, monkeypatch):
-    """The table has all words, emissions sum to 1, and scores are those of a plain forward recursion, words being joined or not."""
-    import zlib
-
-    from quarryframe.llm import hmm
-
-    monkeypatch.setattr(hmm, "HEAVY_WORDS", 7)
-    draw = np.random.default_rng(4)
-    texts = [" ".join(f"{'ab'[i % 2]}{k}x" for k in draw.zipf(1.5, 60) % 90) + (" unseen" if zlib.crc32(str(i).encode()) % 7 == 2 else "") for i in range(50)] + [""]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    seen = [t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2]
-    vocab, _, model, table = hmm.fit(hmm.prepared(docs))
-    rows = table.collect()
-    distinct = {w for t in seen for w in t.split()}
-    assert len(rows) == len(distinct) + 1 and len(vocab.words) < len(distinct)
-    n, expected = np.array([r.n for r in rows]), np.array([[r[x] for x in hmm._S] for r in rows])
-    assert expected.sum(1) == pytest.approx(n, abs=1e-4)
-    emission = hmm.Emission(expected.sum(0), vocab.total, vocab.distinct)
-    unknown = emission(np.zeros(1), np.zeros((1, hmm.STATES)))[0]
-    emit = emission(n, expected)
-    assert emit.sum(0) + unknown == pytest.approx(np.ones(hmm.STATES))
-    import pyarrow as pa
-
-    from quarryframe.llm.textkit import Words
-
-    at = {r.word: k for k, r in enumerate(rows)}
-    key = lambda w: int(Words(pa.array([w])).hashes(lower=True).view(np.int64)[0])
-    end = emit[at[int(np.array(hmm._END).view(np.int64))]]
-    for r in hmm.lm_scores(docs).collect():
-        steps = [emit[at[key(w)]] if key(w) in at else unknown for w in texts[r.doc_id].split()] + [end]
-        state = model.start * steps[0]
-        log = 0.0
-        for e in steps[1:]:
-            log, state = log + math.log10(state.sum()), (state / state.sum()) @ model.move * e
-        assert r.score == pytest.approx(log + math.log10(state.sum()), abs=1e-3)
-
-
-def test_languages_of_few_long_texts_are_learnt(spark):
-    from quarryframe.llm import language
-
-    words = {"aa": "lorem ipsum dolor", "bb": "quick brown foxes", "cc": "zwei kleine katzen", "dd": "petit chat noir"}
-    rows = [(100 * k + i, f"{w} {i} " * (100_000 if lang == "aa" else 5), lang) for k, (lang, w) in enumerate(words.items()) for i in range(10)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    learnt = []
-    fit = language.LanguageModel.fit
-    language.LanguageModel.fit = lambda x, langs: learnt.extend(langs) or fit(x, langs)
-    try:
-        language.fit(docs)
-    finally:
-        language.LanguageModel.fit = fit
-    assert sorted(learnt) == sorted(r[2] for r in rows)
