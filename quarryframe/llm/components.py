@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import cut, spread_join
+from .textkit import cut, free, spread_join
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -25,7 +25,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         # Small star: x and its smaller neighbours hang on the smallest of them.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = spread_join(large, least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        now = cut(small.select("e.*").where("u > v").distinct())
+        before, now = now, cut(small.select("e.*").where("u > v").distinct())
+        free(before)
         seen = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if seen == last:
             break

@@ -8,7 +8,6 @@ longest text and not by the batch that Spark sends.
 from __future__ import annotations
 
 import atexit
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -17,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import delete_path, shared_folder
+
 CHUNK_BYTES = 2 << 20
 _SPACES = np.zeros(256, dtype=bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -127,40 +128,54 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return first + np.arange(total)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: `spark.checkpoint.dir`; only where it is unset (as in tests) one is made here."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="checkpoints-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return f"{folder.rstrip('/')}/quarryframe/{spark.sparkContext.applicationId}"
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage: write `df` as Parquet to the shared folder and read it back.
 
-    Lost executors then cost at most the stages after the last cut. `drop_cuts` (also called at exit) frees the room.
+    Lost executors then cost at most the stages after the last cut. `free` deletes a cut that nothing reads any more, `drop_cuts`
+    (also called at exit) all of them.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     if spark.sparkContext.applicationId not in _OPEN:
-        _OPEN.add(spark.sparkContext.applicationId)
+        _OPEN[spark.sparkContext.applicationId] = []
         atexit.register(drop_cuts, spark)
-    return spark.read.schema(df.schema).parquet(path)
+    _OPEN[spark.sparkContext.applicationId].append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def free(*cuts: DataFrame) -> None:
+    """Delete cuts; whatever rests on them must have been written before."""
+    for df in cuts:
+        delete_path(df.sparkSession, df._cut_path)
+
+
+def cuts_so_far(spark: SparkSession) -> int:
+    return len(_OPEN.get(spark.sparkContext.applicationId, ()))
+
+
+def free_between(spark: SparkSession, first: int, last: int) -> None:
+    """Delete the cuts numbered first to last - 1, in the order in which they were made."""
+    for path in _OPEN.get(spark.sparkContext.applicationId, ())[first:last]:
+        delete_path(spark, path)
 
 
 def drop_cuts(spark: SparkSession) -> None:
     """Delete every cut of this application; no frame that rests on one may be used afterwards."""
     try:
-        context = spark.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        delete_path(spark, shared_folder(spark))
     except Exception:  # at exit the JVM may be gone
         pass
 
 
-_OPEN: set[str] = set()
+_OPEN: dict[str, list[str]] = {}
+
+
+def boxed(docs: DataFrame, **keys) -> DataFrame:
+    """All columns of `docs` in one struct `row`, beside the given keys: no column of theirs can clash with a name used here."""
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), *[value.alias(name) for name, value in keys.items()])
 
 
 def spread_join(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
