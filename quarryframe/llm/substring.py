@@ -63,10 +63,10 @@ def _outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digests.append(hashlib.sha256(b" ".join(raw[a:b].split())).hexdigest())
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id"), pa.array(words.counts.astype(np.int64)), pa.array(print_a.view(np.int64)), pa.array(print_b.view(np.int64)),
+                batch.column("doc_id"), batch.column("row"), pa.array(words.counts.astype(np.int64)), pa.array(print_a.view(np.int64)), pa.array(print_b.view(np.int64)),
                 pa.ListArray.from_arrays(pa.array(bounds), pa.array(anchors.view(np.int64))), pa.array(digests),
             ],
-            names=["doc_id", "n_words", "print_a", "print_b", "anchors", "whole_sha256"],
+            names=["doc_id", "row", "n_words", "print_a", "print_b", "anchors", "whole_sha256"],
         )
 
 
@@ -80,8 +80,8 @@ def _suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = np.searchsorted(row, np.arange(batch.num_rows + 1))
         for i in range(batch.num_rows):
             hit[edges[i] : edges[i + 1]] = np.isin(anchors[edges[i] : edges[i + 1]], values[bounds[i] : bounds[i + 1]])
-        ids = batch.column("doc_id").to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(hashes[hit].view(np.int64)), pa.array(ids[row[hit]]), pa.array(start[hit].astype(np.int32))], names=["window", "doc_id", "start"])
+        ids, keys = batch.column("doc_id").to_numpy(), batch.column("row").to_numpy()
+        yield pa.RecordBatch.from_arrays([pa.array(hashes[hit].view(np.int64)), pa.array(ids[row[hit]]), pa.array(keys[row[hit]]), pa.array(start[hit].astype(np.int32))], names=["window", "doc_id", "row", "start"])
 
 
 def _removed(n: int, starts: np.ndarray) -> np.ndarray:
@@ -110,37 +110,44 @@ def _erase(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             change = np.flatnonzero(np.diff(np.concatenate(([True], out, [True])).astype(np.int8)))
             pieces = [raw[begin[x] if x else words.offsets[i] : until[y - 1]] for x, y in zip(change[::2], change[1::2])]
             texts.append(b"".join(pieces).decode())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(gone, pa.int64()), pa.array(digests, pa.string()), pa.array(texts, pa.string())], names=["doc_id", "n_removed", "kept_sha256", "kept_text"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(gone, pa.int64()), pa.array(digests, pa.string()), pa.array(texts, pa.string())], names=["doc_id", "row", "n_removed", "kept_sha256", "kept_text"])
+
+
+def row_key(text: str = "text"):
+    """Tells rows apart that share a doc_id; equal rows have the same key."""
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
 def repeated_passages(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """documents (doc_id, text) -> doc_id, n_words, n_removed, kept_sha256 (and with `with_text` kept_text, null if nothing goes).
+    """documents (doc_id, text) -> doc_id, n_words, n_removed, kept_sha256 (and with `with_text` `row_key` and kept_text, null if
+    nothing goes).
 
     A word is removed if a window of 50 consecutive words of its document covers it whose word sequence also starts in a
     document with a smaller doc_id; judged on the input. Null, empty or short texts (under 50 words) lose nothing. Rows with a
-    null doc_id lose nothing and are no one's source; rows that repeat a doc_id are one document, each returned. Other columns
-    are ignored; an empty table gives an empty result.
+    null doc_id lose nothing and are no one's source. Rows that share a doc_id are judged each by its own text, never against each
+    other; equal rows get equal results. Of copies, that with the smallest doc_id stays whole. Other columns are ignored; an
+    empty table gives an empty result.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    outline = cut(docs.mapInArrow(_outline, "doc_id long, n_words long, print_a long, print_b long, anchors array<long>, whole_sha256 string"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("row", row_key())
+    outline = cut(docs.mapInArrow(_outline, "doc_id long, row long, n_words long, print_a long, print_b long, anchors array<long>, whole_sha256 string"))
     known = outline.where(f"doc_id is not null and n_words >= {WINDOW}")
     first = known.groupBy("n_words", "print_a", "print_b").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("top"))
     many = cut(first.where("top > rep").select(F.xxhash64("n_words", "print_a", "print_b").alias("class"), F.col("n_words").alias("n"), F.col("print_a").alias("x"), F.col("print_b").alias("y"), "rep"))
     same = (F.xxhash64("n_words", "print_a", "print_b") == F.col("class")) & (F.col("n_words") == F.col("n")) & (F.col("print_a") == F.col("x")) & (F.col("print_b") == F.col("y"))
-    copies = cut(known.select("doc_id", "n_words", "print_a", "print_b").join(many, same).where("doc_id > rep").select("doc_id").distinct())
-    anchors = known.join(copies, "doc_id", "left_anti").select("doc_id", F.explode("anchors").alias("anchor"))
+    copies = cut(known.select("doc_id", "row", "n_words", "print_a", "print_b").join(many, same).where("doc_id > rep").select("doc_id", "row").distinct())
+    anchors = known.join(copies, ["doc_id", "row"], "left_anti").select("doc_id", "row", F.explode("anchors").alias("anchor"))
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("anchor")
-    suspects = cut(spread_join(anchors, shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared")))
-    windows = docs.join(suspects, "doc_id").mapInArrow(_suspects, "window long, doc_id long, start int")
+    suspects = cut(spread_join(anchors, shared, "anchor").groupBy("doc_id", "row").agg(F.collect_set("anchor").alias("shared")))
+    windows = docs.join(suspects, ["doc_id", "row"]).mapInArrow(_suspects, "window long, doc_id long, row long, start int")
     low = windows.groupBy("window").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("window", "low")
-    goes = cut(spread_join(windows, low, "window").where("doc_id > low").groupBy("doc_id").agg(F.collect_set("start").alias("starts")))
-    left = docs.join(goes, "doc_id").mapInArrow(_erase, "doc_id long, n_removed long, kept_sha256 string, kept_text string")
-    left = left.select("doc_id", "n_removed", "kept_sha256", *(["kept_text"] if with_text else []))
+    goes = cut(spread_join(windows, low, "window").where("doc_id > low").groupBy("doc_id", "row").agg(F.collect_set("start").alias("starts")))
+    left = docs.join(goes, ["doc_id", "row"]).mapInArrow(_erase, "doc_id long, row long, n_removed long, kept_sha256 string, kept_text string")
+    left = left.select("doc_id", "row", "n_removed", "kept_sha256", *(["kept_text"] if with_text else []))
     nothing = hashlib.sha256(b"").hexdigest()
-    left = left.unionByName(copies.select("doc_id", F.lit(None).cast("long").alias("n_removed"), F.lit(nothing).alias("kept_sha256"), *([F.lit("").alias("kept_text")] if with_text else [])))
-    left = left.dropDuplicates(["doc_id"]).withColumn("hit", F.lit(True))
-    return outline.select("doc_id", "n_words", "whole_sha256").join(left, "doc_id", "left").select(
+    left = left.unionByName(copies.select("doc_id", "row", F.lit(None).cast("long").alias("n_removed"), F.lit(nothing).alias("kept_sha256"), *([F.lit("").alias("kept_text")] if with_text else [])))
+    left = left.dropDuplicates(["doc_id", "row"]).withColumn("hit", F.lit(True))
+    return outline.select("doc_id", "row", "n_words", "whole_sha256").join(left, ["doc_id", "row"], "left").select(
         "doc_id", "n_words",
         F.when(F.col("hit"), F.coalesce("n_removed", "n_words")).otherwise(F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"), *(["kept_text"] if with_text else []),
+        F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"), *([F.col("row").alias("row_key"), "kept_text"] if with_text else []),
     )
