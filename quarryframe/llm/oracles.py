@@ -33,11 +33,6 @@ _SIGNALS = {
 }
 
 
-def _fences(keys: str) -> str:
-    by = f"{keys}, signal" if keys else "signal"
-    return f"SELECT {by}, count(*) AS n, quantile_disc(unit, 0.75) + 6 * greatest(quantile_disc(unit, 0.75) - quantile_disc(unit, 0.25), any_value(least_)) AS fence FROM sig GROUP BY {by}"
-
-
 _OP4 = f"""
 WITH w AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, {_WORDS} AS ws, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM documents),
 tri AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) >= 3)),
@@ -47,8 +42,9 @@ s AS (SELECT doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(leng
       CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, len(ls) AS n_lines, coalesce(cov.n, 0) AS n_repeat_words FROM w LEFT JOIN cov USING (doc_id)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {', '.join(f'{sql} AS {name}' for name, (sql, _) in _SIGNALS.items())} FROM s),
 sig AS ({' UNION ALL '.join(f"SELECT lang, source, '{name}' AS signal, {name} AS unit, {least} AS least_ FROM b WHERE NOT base_failed" for name, (_, least) in _SIGNALS.items())}),
-f1 AS ({_fences('lang, source')}), f2 AS ({_fences('lang')}), f3 AS ({_fences('')}),
-f AS (SELECT f1.lang, f1.source, f1.signal, CASE WHEN f1.n >= 20 THEN f1.fence WHEN f2.n >= 20 THEN f2.fence ELSE f3.fence END AS fence FROM f1 JOIN f2 ON f1.lang IS NOT DISTINCT FROM f2.lang AND f1.signal = f2.signal JOIN f3 ON f1.signal = f3.signal),
+e AS (SELECT lang, signal, any_value(least_) AS least_, quantile_disc(unit, [{', '.join(str((2 * k + 1) / 16) for k in range(8))}]) AS units FROM sig GROUP BY lang, signal),
+p AS (SELECT lang, source, signal, unit, least_ FROM sig UNION ALL SELECT g.lang, g.source, g.signal, unnest(e.units), e.least_ FROM (SELECT DISTINCT lang, source, signal FROM sig) g JOIN e ON g.lang IS NOT DISTINCT FROM e.lang AND g.signal = e.signal),
+f AS (SELECT lang, source, signal, quantile_disc(unit, 0.75) + 6 * greatest(quantile_disc(unit, 0.75) - quantile_disc(unit, 0.25), any_value(least_)) AS fence FROM p GROUP BY lang, source, signal),
 x AS (SELECT lang, source, {', '.join(f"max(fence) FILTER (signal = '{name}') AS max_{name}" for name in _SIGNALS)} FROM f GROUP BY lang, source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {' AND '.join(f'coalesce({name} <= max_{name}, true)' for name in _SIGNALS)} AS kept
 FROM b LEFT JOIN x ON b.lang IS NOT DISTINCT FROM x.lang AND b.source IS NOT DISTINCT FROM x.source"""

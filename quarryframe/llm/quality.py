@@ -21,18 +21,20 @@ SIGNALS = ("symbol_share", "dup_line_share", "repeat_share", "word_length")
 #: A fence is the upper quartile plus REACH times the spread: the larger of quartile range and LEAST_SPREAD (in units).
 REACH = 6
 LEAST_SPREAD = {"symbol_share": 10, "dup_line_share": 40, "repeat_share": 60, "word_length": 10}
-#: Groups with fewer documents than this have no fences of their own and use their language's, then everything's.
-LEAST_GROUP = 20
+#: Each group's sketch also holds this many documents at even quantiles of its language, so that groups of a few documents follow
+#: their language and larger ones themselves, without a step between.
+PRIOR = 8
 
 
 def with_statistics(docs: DataFrame) -> DataFrame:
     """Add n_words, word_chars, n_symbols, n_lines (with a word), n_dup_lines, n_repeat_words and base_failed; other columns stay.
 
     Repeated 3-word windows are found by sorting: a window's 64-bit hash gives its upper bits, its place the lower ones, so
-    equal windows become neighbours in one sort of longs. Long texts therefore cost n log n and no shuffle.
+    equal windows become neighbours in one sort of longs. Long texts therefore cost n log n and no shuffle. As places take bits from
+    the hash, the windows found so are candidates; these few are sorted again by their full hash and place.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    names = ["_words", "_lines", "_tri", "_bits", "_sorted", "_hits"]
+    names = ["_words", "_lines", "_tri", "_bits", "_sorted", "_near", "_full", "_hits"]
     core = F.btrim(text, F.lit(_SPACE))
     out = docs.withColumn("_words", F.when(F.length(core) == 0, F.array().cast("array<string>")).otherwise(F.split(core, _SPACES)))
     out = out.withColumn("_lines", F.filter(F.split(text, "\n"), lambda x: F.length(F.btrim(x, F.lit(_SPACE))) > 0))
@@ -49,11 +51,18 @@ def with_statistics(docs: DataFrame) -> DataFrame:
     tri = F.expr("CASE WHEN size(_words) < 4 THEN cast(array() as array<bigint>) ELSE transform(slice(_words, 3, size(_words) - 2), (w, i) -> shiftleft(xxhash64(_words[i], _words[i + 1], w), _bits) + i) END")
     out = out.withColumn("_tri", tri)
     out = out.withColumn("_sorted", F.sort_array("_tri"))
-    hits = F.expr(
-        "CASE WHEN size(_sorted) < 2 THEN cast(array() as array<bigint>) ELSE sort_array(filter(transform(_sorted, (x, k) -> IF("
+    near = F.expr(
+        "CASE WHEN size(_sorted) < 2 THEN cast(array() as array<bigint>) ELSE filter(transform(_sorted, (x, k) -> IF("
         "(k > 0 AND shiftright(_sorted[greatest(k - 1, 0)], _bits) = shiftright(x, _bits)) OR (k + 1 < size(_sorted) AND shiftright(_sorted[least(k + 1, size(_sorted) - 1)], _bits) = shiftright(x, _bits)), "
-        "x & (shiftleft(1L, _bits) - 1), -1L)), x -> x >= 0)) END"
+        "x & (shiftleft(1L, _bits) - 1), -1L)), x -> x >= 0) END"
+    )
+    full = F.expr("sort_array(transform(_near, p -> struct(xxhash64(_words[cast(p as int)], _words[cast(p + 1 as int)], _words[cast(p + 2 as int)]) AS h, p AS p)))")
+    hits = F.expr(
+        "CASE WHEN size(_full) < 2 THEN cast(array() as array<bigint>) ELSE sort_array(filter(transform(_full, (x, k) -> IF("
+        "(k > 0 AND _full[greatest(k - 1, 0)].h = x.h) OR (k + 1 < size(_full) AND _full[least(k + 1, size(_full) - 1)].h = x.h), x.p, -1L)), x -> x >= 0)) END"
     )
+    out = out.withColumn("_near", near)
+    out = out.withColumn("_full", full)
     out = out.withColumn("_hits", hits)
     covered = F.expr("aggregate(transform(_hits, (x, k) -> IF(k + 1 < size(_hits), least(3L, _hits[least(k + 1, size(_hits) - 1)] - x), 3L)), 0L, (a, x) -> a + x)")
     out = out.withColumn("n_repeat_words", covered)
@@ -73,32 +82,28 @@ def with_signals(stats: DataFrame) -> DataFrame:
     )
 
 
-def _fences(bins: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, signal, unit, n) -> keys, signal, rows, fence."""
-    order = Window.partitionBy(*keys, "signal").orderBy("unit")
+def _ranked(bins: DataFrame, keys: list[str]) -> DataFrame:
     whole = Window.partitionBy(*keys, "signal")
-    ranked = bins.withColumns({"upto": F.sum("n").over(order), "rows": F.sum("n").over(whole)})
-    quartile = ranked.groupBy(*keys, "signal").agg(
-        F.max("rows").alias("rows"),
-        F.min(F.when(4 * F.col("upto") >= F.col("rows"), F.col("unit"))).alias("q1"),
-        F.min(F.when(4 * F.col("upto") >= 3 * F.col("rows"), F.col("unit"))).alias("q3"),
-    )
-    least = F.create_map(*[F.lit(x) for pair in LEAST_SPREAD.items() for x in pair])
-    return quartile.select(*keys, "signal", "rows", (F.col("q3") + REACH * F.greatest(F.col("q3") - F.col("q1"), least[F.col("signal")])).alias("fence"))
+    return bins.withColumns({"upto": F.sum("n").over(whole.orderBy("unit")), "rows": F.sum("n").over(whole)})
+
+
+def _quantile(over: int, of: int):
+    """The smallest unit that over / of of the rows do not exceed."""
+    return F.min(F.when(of * F.col("upto") >= over * F.col("rows"), F.col("unit")))
 
 
 def adaptive_fences(measured: DataFrame) -> DataFrame:
     """One row for each (lang, source) of the input: an upper fence for each signal. Null lang or source is a group of its own."""
     signals = measured.where("not base_failed").select("lang", "source", F.explode(F.array(*[F.struct(F.lit(s).alias("signal"), F.col(s).alias("unit")) for s in SIGNALS])).alias("s"))
     bins = cut(signals.groupBy("lang", "source", "s.signal", "s.unit").agg(F.count("*").alias("n")))
-    own = _fences(bins, ["lang", "source"])
-    of_lang = _fences(bins.groupBy("lang", "signal", "unit").agg(F.sum("n").alias("n")), ["lang"])
-    of_all = _fences(bins.groupBy("signal", "unit").agg(F.sum("n").alias("n")), [])
-    a, b, c = own.alias("a"), of_lang.alias("b"), of_all.alias("c")
-    joined = a.join(b, F.col("a.lang").eqNullSafe(F.col("b.lang")) & (F.col("a.signal") == F.col("b.signal"))).join(c, F.col("a.signal") == F.col("c.signal"))
-    fence = F.when(F.col("a.rows") >= LEAST_GROUP, F.col("a.fence")).when(F.col("b.rows") >= LEAST_GROUP, F.col("b.fence")).otherwise(F.col("c.fence"))
-    flat = joined.select("a.lang", "a.source", "a.signal", fence.alias("fence"))
-    return flat.groupBy("lang", "source").agg(*[F.max(F.when(F.col("signal") == s, F.col("fence"))).alias(f"max_{s}") for s in SIGNALS])
+    of_lang = _ranked(bins.groupBy("lang", "signal", "unit").agg(F.sum("n").alias("n")), ["lang"])
+    even = of_lang.groupBy("lang", "signal").agg(F.array(*[_quantile(2 * k + 1, 2 * PRIOR) for k in range(PRIOR)]).alias("units")).alias("e")
+    groups = bins.select("lang", "source", "signal").distinct().alias("g")
+    prior = groups.join(even, F.col("g.lang").eqNullSafe(F.col("e.lang")) & (F.col("g.signal") == F.col("e.signal"))).select("g.lang", "g.source", "g.signal", F.explode("e.units").alias("unit"), F.lit(1).cast("long").alias("n"))
+    quartile = _ranked(bins.unionByName(prior), ["lang", "source"]).groupBy("lang", "source", "signal").agg(_quantile(1, 4).alias("q1"), _quantile(3, 4).alias("q3"))
+    least = F.create_map(*[F.lit(x) for pair in LEAST_SPREAD.items() for x in pair])
+    fence = F.col("q3") + REACH * F.greatest(F.col("q3") - F.col("q1"), least[F.col("signal")])
+    return quartile.groupBy("lang", "source").agg(*[F.max(F.when(F.col("signal") == s, fence)).alias(f"max_{s}") for s in SIGNALS])
 
 
 def judge(measured: DataFrame, fences: DataFrame) -> DataFrame:
@@ -116,7 +121,8 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
 
     Null text: no words, base_failed. Rows are judged one by one, so repeated rows get equal verdicts; null lang or source
     forms a group; other columns are ignored; an empty table gives an empty result. A group's fences rest on its rows that
-    pass the base rules; small groups (under LEAST_GROUP) use their language's fences, then those of all rows.
+    pass the base rules and on PRIOR documents that stand for its language, so they change steadily with a group's size. A group
+    without such rows has no fences.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"))
     measured = cut(with_signals(with_statistics(slim).drop("text")))
