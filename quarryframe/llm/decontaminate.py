@@ -7,8 +7,10 @@ the sum of their largest impacts inside a block of items discards most blocks, a
 never below the score, so nothing above the threshold is lost. A hit is confirmed if the 3-word runs of the item's question
 and of its answer both occur in the passage for the most part.
 
-Passages are as long as the two longest items (two strides) and begin at every stride, so an item's whole text lies in at least
-one of them. The index of up to `ITEMS` items travels with the code; larger benchmarks are searched in as many passes.
+Items are indexed by classes of length, the powers of two from `LEAST_STRIDE` on. A class's passages are two strides long, a stride
+being the class's length, and begin at every stride, so an item's whole text lies in at least one of them; how long the passages are
+in which an item is looked for thus depends on that item alone. Indexes of about `INDEX_WORDS` words of items travel with the code;
+larger benchmarks are searched in as many passes, which changes no result.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .textkit import Words, chunks, cut, ranges
 
-ITEMS = 5_000
+INDEX_WORDS = 2_000_000
 BLOCK = 16
 K1, B = 1.2, 0.75
 LEAST_SCORE = 0.6
@@ -55,19 +57,21 @@ def _runs(h: np.ndarray, size: int = RUN) -> np.ndarray:
 
 
 class Index:
-    """Impacts of terms in items, as arrays sorted by term: for each term its postings (item, impact) and blocks (block, largest)."""
+    """Impacts of terms in items, as arrays sorted by term: for each term its postings (item, impact) and blocks (block, largest).
 
-    def __init__(self, ids: list[int], texts: list[str], frequency: dict[int, int], items: int, mean_length: float):
+    All items have at most `stride` words.
+    """
+
+    def __init__(self, ids: list[int], texts: list[str], frequency: dict[int, int], items: int, mean_length: float, stride: int):
         parts = [question_and_answer(t.lower()) for t in texts]
         words = Words(pa.array([p for pair in parts for p in pair], pa.string()), letters_only=True)
         h, bounds = words.hashes(lower=False), words.bounds
-        self.ids, self.stride = np.array(ids, dtype=np.int64), LEAST_STRIDE
+        self.ids, self.stride = np.array(ids, dtype=np.int64), stride
         self.parts = []
         term, item, impact = [], [], []
         for i in range(len(ids)):
             own = h[bounds[2 * i] : bounds[2 * i + 2]]
             self.parts.append((h[bounds[2 * i] : bounds[2 * i + 1]], h[bounds[2 * i + 1] : bounds[2 * i + 2]]))
-            self.stride = max(self.stride, len(own))
             t, tf = np.unique(own, return_counts=True)
             df = np.array([frequency[x] for x in t.view(np.int64).tolist()])
             weight = np.log1p((items - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(own) / mean_length))
@@ -160,17 +164,23 @@ class Index:
                     best[1:] = float(score), q, a
 
 
-def _search(index: Index):
+def stride_of(words: int) -> int:
+    """The length class of an item: the power of two that holds it."""
+    return max(LEAST_STRIDE, 1 << max(words - 1, 0).bit_length())
+
+
+def _search(indexes: list[Index]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             words = Words(batch.column("text"), letters_only=True)
-            hits = index.hits(words, words.hashes(lower=False))
-            ids = batch.column("doc_id").to_pylist()
-            cols = list(zip(*hits)) if hits else [()] * 6
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([ids[r] for r in cols[0]], pa.int64()), pa.array([int(index.ids[i]) for i in cols[1]], pa.int64()), pa.array(cols[2], pa.int64()), *[pa.array(c, pa.float64()) for c in cols[3:]]],
-                names=[x.split()[0] for x in _HITS.split(", ")],
-            )
+            h, ids = words.hashes(lower=False), batch.column("doc_id").to_pylist()
+            for index in indexes:
+                hits = index.hits(words, h)
+                cols = list(zip(*hits)) if hits else [()] * 6
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([ids[r] for r in cols[0]], pa.int64()), pa.array([int(index.ids[i]) for i in cols[1]], pa.int64()), pa.array(cols[2], pa.int64()), *[pa.array(c, pa.float64()) for c in cols[3:]]],
+                    names=[x.split()[0] for x in _HITS.split(", ")],
+                )
 
     return run
 
@@ -196,19 +206,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     lowered = items.select("item_id", F.lower("text").alias("text")).mapInArrow(_terms, "item_id long, length long, terms array<long>").where("length > 0")
     lowered = cut(lowered)
-    n, mean = lowered.agg(F.count("*"), F.avg("length")).first()
+    n, mean, words = lowered.agg(F.count("*"), F.avg("length"), F.sum("length")).first()
     frequency = lowered.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    passes = max(1, -(-n // ITEMS))
+    passes = max(1, -(-(words or 0) // INDEX_WORDS))
     found = None
     for k in range(passes if n else 0):
         share = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k)
-        rows = sorted((r.item_id if r.item_id is not None else -1, r.text) for r in share.collect())  # about ITEMS rows
-        rows = [r for r in rows if re.search(r"[0-9A-Za-z\u0080-\U0010ffff]", r[1])]
-        if not rows:
-            continue
         own = share.select("item_id", F.lower("text").alias("text")).mapInArrow(_terms, "item_id long, length long, terms array<long>").select(F.explode("terms").alias("term")).distinct()
-        df = {r.term: r.df for r in own.join(frequency, "term").collect()}  # the terms of about ITEMS rows
-        index = Index([r[0] for r in rows], [r[1] for r in rows], df, n, mean)
-        hits = slim.mapInArrow(_search(index), _HITS)
-        found = hits if found is None else found.unionByName(hits)
+        df = {r.term: r.df for r in own.join(frequency, "term").collect()}  # of about INDEX_WORDS words
+        classes: dict[int, list] = {}
+        for r in share.collect():  # about INDEX_WORDS words
+            length = int(Words(pa.array([" ".join(question_and_answer(r.text.lower()))]), letters_only=True).counts[0])
+            if length:
+                classes.setdefault(stride_of(length), []).append((r.item_id if r.item_id is not None else -1, r.text))
+        indexes = [Index([r[0] for r in sorted(rows)], [r[1] for r in sorted(rows)], df, n, mean, stride) for stride, rows in sorted(classes.items())]
+        if indexes:
+            hits = slim.mapInArrow(_search(indexes), _HITS)
+            found = hits if found is None else found.unionByName(hits)
     return found if found is not None else spark.createDataFrame([], _HITS)
