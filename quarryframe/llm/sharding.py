@@ -41,10 +41,24 @@ def _hypergeometric(draw: np.random.Generator, good: int, bad: int, sample: int)
         return 0
     if good + bad < 10**9:
         return int(draw.hypergeometric(good, bad, sample))
-    # Beyond the generator's range (10^9 rows): the normal limit law, kept within the support; sizes stay exact.
-    mean, n = sample * good / (good + bad), good + bad
-    spread = math.sqrt(max(mean * (bad / n) * (n - sample) / (n - 1), 0))
-    return int(min(max(round(draw.normal(mean, spread)), max(0, sample - bad)), min(sample, good)))
+    return inverse_draw(draw.random(), good, bad, sample)  # beyond the generator's range
+
+
+def inverse_draw(u: float, good: int, bad: int, sample: int) -> int:
+    """The hypergeometric law by inversion: its quantile at u, for populations of any size.
+
+    The weights around the mode follow from it by the law's own ratios of neighbours, so no factorials (and no loss of digits in them)
+    are needed; what lies further than 12 standard deviations and 60 away weighs under 1e-18 and is left out.
+    """
+    low, high = max(0, sample - bad), min(sample, good)
+    mode = (sample + 1) * (good + 1) // (good + bad + 2)
+    spread = math.sqrt(sample * (good / (good + bad)) * (bad / (good + bad)))
+    low, high = max(low, mode - int(12 * spread) - 60), min(high, mode + int(12 * spread) + 60)
+    k = np.arange(low, high, dtype=np.float64)  # weight(k + 1) / weight(k)
+    ratio = (good - k) * (sample - k) / ((k + 1) * (bad - sample + k + 1))
+    weight = np.concatenate((np.cumprod(1 / ratio[: mode - low][::-1])[::-1], [1.0], np.cumprod(ratio[mode - low :])))
+    upto = np.cumsum(weight)
+    return low + min(int(np.searchsorted(upto, u * upto[-1], side="right")), len(weight) - 1)
 
 
 def uniform_shards(docs: DataFrame, shards: int = SHARDS, seed: int = 0) -> DataFrame:
