@@ -8,7 +8,8 @@ confirmed on the full shingle sets.
 How it scales: documents with equal shingle sets are collapsed first, so exact copies (however many) cost one row each.
 In a band bucket each document is tied to the bucket's smallest id only: no pairs of a bucket are emitted. Components
 of these ties are candidate groups; a group's texts meet in one task, or, if they have more than `GROUP_SHINGLES` shingles, in
-tasks for each pair of blocks, so a task's memory is bounded and no pair of a group is left out.
+tasks for each pair of blocks, so a task's memory is bounded and no pair of a group is left out. Inside a task pairs meet by the
+positional prefix filter, so pages that share a template but are no duplicates are not compared pair by pair.
 """
 
 from __future__ import annotations
@@ -28,7 +29,9 @@ PERMUTATIONS = 128  # 256 signature entries
 ROWS = 5  # in a band: 51 bands miss a pair of similarity 0.75 with probability 1e-6
 BANDS = 2 * PERMUTATIONS // ROWS
 LEAST_MATCHES = 0.60  # of 256 entries: 0.75 less 5.5 standard deviations
-GROUP_SHINGLES = 4_000_000  # that meet in one task at a time, each block
+GROUP_SHINGLES = 1_000_000  # that meet in one task at a time, each block
+FEW = 24  # documents that are tried pair by pair
+HUBS = 16  # documents of a larger group that all others are tried against first
 
 _FACTORS = np.random.default_rng(75).integers(1, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACES = np.random.default_rng(5).integers(1, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -112,34 +115,97 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _links(ids: np.ndarray, sets: list[np.ndarray], sketch: np.ndarray, side: np.ndarray | None) -> np.ndarray:
-    """The smallest id that each document of a group reaches over confirmed links.
+class _Group:
+    """The documents of one task, joined to components by confirmed links only.
 
     side: where two blocks of a larger group meet, only links between the blocks count; within each, another task looks.
     """
+
+    def __init__(self, sets: list[np.ndarray], sketch: np.ndarray, side: np.ndarray | None):
+        self.sets, self.sketch, self.side = sets, sketch, side
+        self.sizes = np.array([len(s) for s in sets])
+        self.label = np.arange(len(sets))
+
+    def linked(self, i: int, j: int) -> bool:
+        a, b = (self.sets[i], self.sets[j]) if self.sizes[i] <= self.sizes[j] else (self.sets[j], self.sets[i])
+        at = np.searchsorted(b, a)
+        at[at == len(b)] = 0
+        same = int((b[at] == a).sum())
+        return 100 * same >= 75 * (len(a) + len(b) - same)
+
+    def attach(self, i: int, others: np.ndarray) -> None:
+        """Try document i against others: those of other components whose size and sketch allow a link, likest first."""
+        others = others[self.label[others] != self.label[i]]
+        if self.side is not None:
+            others = others[self.side[others] != self.side[i]]
+        others = others[4 * np.minimum(self.sizes[others], self.sizes[i]) >= 3 * np.maximum(self.sizes[others], self.sizes[i])]
+        if len(others) > 2:  # for a pair or two the sets are as quick
+            matches = np.concatenate([(self.sketch[part] == self.sketch[i]).sum(axis=1) for part in np.array_split(others, -(-len(others) // 20_000))])
+            likely = matches >= LEAST_MATCHES * 2 * PERMUTATIONS
+            others = others[likely][np.argsort(-matches[likely], kind="stable")]
+        for j in others:
+            if self.label[j] != self.label[i] and self.linked(i, j):
+                low, high = sorted((self.label[i], self.label[j]))
+                self.label[self.label == high] = low
+
+    def attach_by_prefix(self) -> None:
+        """Every pair that may be linked meets, by the positional prefix filter (Xiao et al., PPJoin), which loses none.
+
+        In each set the shingles are put in order of their frequency in the group, rare ones first. A linked pair has
+        7 * intersection >= 3 * (sum of sizes); all it shares lies at or behind its first common shingle, so in both sets at least
+        that many shingles must be left from there on. Documents of a component that most holders of a shingle belong to are
+        not tried against each other, so a group of copies costs no pairs.
+        """
+        n, sizes = len(self.sets), self.sizes
+        owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
+        _, token, often = np.unique(np.concatenate(self.sets), return_inverse=True, return_counts=True)
+        often = often[token]
+        order = np.lexsort((token, often, owner))
+        token, often = token[order], often[order]
+        left = sizes[owner] - (np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes))
+        keep = (often > 1) & (4 * left >= 3 * sizes[owner])
+        token, owner, left = token[keep], owner[keep], left[keep]
+        order = np.lexsort((owner, sizes[owner], token))
+        token, owner, left = token[order], owner[order], left[order]
+        if not len(token):
+            return
+        # The component that most holders of a shingle belong to.
+        pairs, first, count = np.unique(token * n + self.label[owner], return_index=True, return_counts=True)
+        order = np.lexsort((-count, token[first]))
+        most = order[np.concatenate(([True], np.diff(token[first][order]) > 0))]
+        major = np.full(int(token[-1]) + 1, -1)
+        major[token[first][most]] = np.where(count[most] > 1, self.label[owner[first][most]], -1)
+        odd = major[token] != self.label[owner]
+        size = sizes[owner]
+        reach = np.minimum(4 * size // 3, (7 * left - 3 * size) // 3)  # the largest partner
+        key = token << 32 | size
+        asks = np.flatnonzero(odd & (4 * reach >= 3 * size))
+        asks = asks[np.argsort(owner[asks], kind="stable")]
+        low = np.searchsorted(key, token[asks] << 32 | -(-3 * size[asks] // 4), side="left")
+        high = np.searchsorted(key, token[asks] << 32 | reach[asks], side="right")
+        for mine in np.split(np.arange(len(asks)), np.flatnonzero(np.diff(owner[asks])) + 1):
+            i = owner[asks[mine[0]]] if len(mine) else 0
+            at = ranges(low[mine], high[mine] - low[mine])
+            other = owner[at]
+            fits = (size[at] <= reach[asks[np.repeat(mine, high[mine] - low[mine])]]) & (sizes[i] <= reach[at]) & (other != i) & (~odd[at] | (other < i))
+            if fits.any():
+                self.attach(i, np.unique(other[fits]))
+
+
+def _links(ids: np.ndarray, sets: list[np.ndarray], sketch: np.ndarray, side: np.ndarray | None) -> np.ndarray:
+    """The smallest id that each document of a group reaches over confirmed links."""
     n = len(ids)
-    label, sizes = np.arange(n), np.array([len(s) for s in sets])
-    for i in range(n - 1):
-        rest = np.arange(i + 1, n)
-        rest = rest[label[rest] != label[i]]
-        rest = rest[(4 * np.minimum(sizes[rest], sizes[i]) >= 3 * np.maximum(sizes[rest], sizes[i]))]
-        if side is not None:
-            rest = rest[side[rest] != side[i]]
-        if len(rest) > 2:  # for a pair or two the sets are as quick
-            rest = rest[(sketch[rest] == sketch[i]).sum(axis=1) >= LEAST_MATCHES * 2 * PERMUTATIONS]
-        for j in rest:
-            if label[j] == label[i]:
-                continue
-            a, b = (sets[i], sets[j]) if sizes[i] <= sizes[j] else (sets[j], sets[i])
-            at = np.searchsorted(b, a)
-            at[at == len(b)] = 0
-            same = int((b[at] == a).sum())
-            if 100 * same >= 75 * (len(a) + len(b) - same):
-                low, high = sorted((label[i], label[j]))
-                label[label == high] = low
+    group = _Group(sets, sketch, side)
+    if n <= FEW:
+        for i in range(n - 1):
+            group.attach(i, np.arange(i + 1, n))
+    else:
+        for i in np.unique(np.linspace(0, n - 1, HUBS, dtype=np.int64)):  # what is like a hub comes together at once
+            group.attach(i, np.arange(n))
+        group.attach_by_prefix()
     least = np.full(n, np.iinfo(np.int64).max)
-    np.minimum.at(least, label, ids)
-    return least[label]
+    np.minimum.at(least, group.label, ids)
+    return least[group.label]
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
