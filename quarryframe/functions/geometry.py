@@ -144,8 +144,8 @@ def crop_boxes(width: Column, height: Column, layers: int, overlap_share: float)
 
 
 def closest_tiling(aspect: Column, most: int, area: Column | None = None, side: int = 448) -> Column:
-    """(w, h) tiles, w * h <= most, whose ratio is closest to the aspect. Equal ratios: the fewest tiles; with an area, the most
-    tiles of which the image's area exceeds half."""
+    """(w, h) tiles, w * h <= most, whose ratio is closest to the aspect; of ratios equally close the first in order of tiles; with an
+    area the last one, whatever its ratio, of whose tiles the area exceeds half."""
     grid = sorted(((w, h) for w in range(1, most + 1) for h in range(1, most + 1) if w * h <= most), key=lambda x: (x[0] * x[1], x))
     tiles = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(h).alias("h")) for w, h in grid])
     off = lambda g: F.abs(aspect - g["w"] / g["h"])
@@ -154,7 +154,7 @@ def closest_tiling(aspect: Column, most: int, area: Column | None = None, side:
     if area is None:
         return first
     large = F.filter(nearest, lambda g: area > 0.5 * side * side * g["w"] * g["h"])
-    return F.coalesce(F.get(F.filter(large, lambda g: g["w"] * first["h"] == g["h"] * first["w"]), F.size(F.filter(large, lambda g: g["w"] * first["h"] == g["h"] * first["w"])) - 1), first)
+    return F.coalesce(F.get(large, F.size(large) - 1), first)
 
 
 def box_iou(ax: Column, ay: Column, aw: Column, ah: Column, bx: Column, by: Column, bw: Column, bh: Column) -> Column:

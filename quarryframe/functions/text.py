@@ -72,6 +72,14 @@ def common_prefix_length(texts: Column) -> Column:
     return F.coalesce(F.array_max(F.filter(F.transform(F.sequence(F.lit(0), n), lambda i: F.when(F.substring(low, F.lit(1), i) == F.substring(high, F.lit(1), i), i).otherwise(0)), lambda x: x >= 0)), F.lit(0))
 
 
+def class_subset(value: Column, classes: list[str], chosen: list[str]) -> Column:
+    """Index in `classes` -> index in `chosen`; classes that are not chosen become -1. Every chosen class must be there."""
+    unknown = [c for c in chosen if c not in classes]
+    if unknown:
+        raise ValueError(f"no such classes: {', '.join(unknown)}")
+    return F.coalesce(F.create_map(*[F.lit(x) for i, c in enumerate(chosen) for x in (classes.index(c), i)])[value.cast("int")], F.lit(-1))
+
+
 def cascading_remap(value: Column, pairs: dict[int, int]) -> Column:
     """In-place label remap in the order of `pairs`: a value that was mapped may be mapped again."""
     for old, new in pairs.items():

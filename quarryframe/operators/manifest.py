@@ -113,3 +113,22 @@ def flag_table(wide: DataFrame, key: str, prefix: str) -> DataFrame:
     columns = [c for c in wide.columns if c.startswith(prefix)]
     entries = F.array(*[F.struct(F.lit(c[len(prefix) :]).alias("stage"), F.col(c).cast("boolean").alias("done")) for c in columns])
     return wide.select(key, F.explode(entries).alias("e")).select(key, "e.stage", "e.done").where("done is not null")
+
+
+def gate_or_all(df: DataFrame, condition: Column) -> DataFrame:
+    """Rows that meet the condition; if none does, all rows."""
+    some = df.agg(F.coalesce(F.max(condition), F.lit(False)).alias("_some"))  # one row
+    return df.crossJoin(F.broadcast(some)).where(condition | ~F.col("_some")).drop("_some")
+
+
+def finished(df: DataFrame, keys: list[str], flags: list[str], open_value: int = -1) -> DataFrame:
+    """Keys of which every row has a value other than `open_value` in all flags; a null flag is open."""
+    done = F.lit(True)
+    for flag in flags:
+        done &= F.coalesce(F.col(flag) != open_value, F.lit(False))
+    return df.groupBy(*keys).agg(F.every(done).alias("_done")).where("_done").select(*keys)
+
+
+def first_wins(first: DataFrame, second: DataFrame, keys: list[str]) -> DataFrame:
+    """All rows of `first`, and those of `second` whose keys are not in it."""
+    return first.unionByName(second.join(first.select(*keys).distinct(), keys, "left_anti"))

@@ -25,7 +25,7 @@ def nearest_vectors(queries: DataFrame, rows: DataFrame, key: str, vector: str,
         if not len(own):
             continue
         ids, q = own["id"].to_numpy(), np.array(own["v"].tolist())
-        q = q / np.linalg.norm(q, axis=1, keepdims=True)
+        q = q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
         hits = rows.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).mapInArrow(_search(ids, q, k, exact_zero), "q long, k long, dist double")
         found = hits if found is None else found.unionByName(hits)
     if found is None:

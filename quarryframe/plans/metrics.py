@@ -142,7 +142,7 @@ def backproject(spark, d):
     return e.withColumn("p", p).where("p is not null").select("vec_id", *[F.round(f"p.{c}", 6).alias(c) for c in "xyz"])
 
 
-@query("rigid_round_trip", "G3 G4 G5 G6", "SELECT vec_id, round(CAST(embedding[5] AS DOUBLE), 4) AS x, round(CAST(embedding[6] AS DOUBLE), 4) AS y, round(CAST(embedding[7] AS DOUBLE), 4) AS z FROM embeddings")
+@query("rigid_round_trip", "G3 G4 G6", "SELECT vec_id, round(CAST(embedding[5] AS DOUBLE), 4) AS x, round(CAST(embedding[6] AS DOUBLE), 4) AS y, round(CAST(embedding[7] AS DOUBLE), 4) AS z FROM embeddings")
 def rigid_round_trip(spark, d):
     """A point through a pose and back through its inverse."""
     e = table(spark, d, "embeddings")
@@ -339,7 +339,7 @@ def bounding_window_rank(spark, d):
     "tile_aspect", "M19 M17",
     """WITH g AS (SELECT w, h, w / h AS r FROM (SELECT unnest(range(1, 7)) AS w) a, (SELECT unnest(range(1, 7)) AS h) b WHERE w * h <= 6), p AS (SELECT p_partkey, p_size * 20000 AS area, (p_size + 4) / (p_size % 9 + 3) AS a FROM part),
     s AS (SELECT p_partkey, area, w, h, row_number() OVER (PARTITION BY p_partkey ORDER BY abs(a - r), w * h, w) AS k, rank() OVER (PARTITION BY p_partkey ORDER BY abs(a - r)) AS tie, r FROM p, g), f AS (SELECT * FROM s WHERE k = 1),
-    b AS (SELECT s.p_partkey, max(s.w * s.h) AS m FROM s JOIN f ON s.p_partkey = f.p_partkey AND s.r = f.r AND s.tie = 1 AND s.area > 0.5 * 448 * 448 * s.w * s.h GROUP BY 1)
+    b AS (SELECT s.p_partkey, max(s.w * s.h) AS m FROM s JOIN f ON s.p_partkey = f.p_partkey AND s.tie = 1 AND s.area > 0.5 * 448 * 448 * s.w * s.h GROUP BY 1)
     SELECT f.p_partkey, CAST(f.w AS INT) AS cols, CAST(f.h AS INT) AS n_rows, CAST(coalesce(b.m, f.w * f.h) AS INT) AS tiles_by_area FROM f LEFT JOIN b USING (p_partkey)""",
 )
 def tile_aspect(spark, d):

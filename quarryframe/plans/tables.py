@@ -14,7 +14,7 @@ from .registry import query
 _HORNER = " ".join(["((((CAST('0x' || substr(h, 1, 8) AS BIGINT) % {n}) * (4294967296 % {n}) + CAST('0x' || substr(h, 9, 8) AS BIGINT)) % {n} * (4294967296 % {n}) + CAST('0x' || substr(h, 17, 8) AS BIGINT)) % {n} * (4294967296 % {n}) + CAST('0x' || substr(h, 25, 8) AS BIGINT)) % {n}"])
 
 
-@query("clip_gate_semi", "F1 J1 J3 P1 R3", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'O' AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal < 5000)")
+@query("clip_gate_semi", "F1 J1 J3 P1", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'O' AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal < 5000)")
 def clip_gate_semi(spark, d):
     o = require_columns(table(spark, d, "orders"), "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
     c = table(spark, d, "customer").where("c_mktsegment = 'BUILDING' and c_acctbal < 5000")
@@ -57,25 +57,25 @@ def stage_counts(spark, d):
     return manifest.stage_counts(table(spark, d, "documents"), {"long_enough": F.col("n_chars") >= 200, "english": F.col("lang") == "en", "short_enough": F.col("n_chars") <= 5000}, ["source"])
 
 
-@query("manifest_statistics", "A21 K10", "SELECT count(*) AS n_rows, count(n_chars) AS with_chars, CAST(sum(n_chars) AS BIGINT) AS chars, count(DISTINCT source) AS sources, count(*) FILTER (lang = 'en') AS english FROM documents")
+@query("manifest_statistics", "A21", "SELECT count(*) AS n_rows, count(n_chars) AS with_chars, CAST(sum(n_chars) AS BIGINT) AS chars, count(DISTINCT source) AS sources, count(*) FILTER (lang = 'en') AS english FROM documents")
 def manifest_statistics(spark, d):
     return table(spark, d, "documents").agg(F.count("*").alias("n_rows"), F.count("n_chars").alias("with_chars"), F.sum("n_chars").alias("chars"), F.count_distinct("source").alias("sources"), F.count_if(F.col("lang") == "en").alias("english"))
 
 
-@query("work_queue", "F9 F3", "SELECT doc_id, source FROM documents LEFT JOIN labels USING (doc_id) WHERE coalesce(quality, -1) = -1 AND n_chars > 500 AND lang IN ('en', 'de')")
+@query("work_queue", "F9", "SELECT doc_id, source FROM documents LEFT JOIN labels USING (doc_id) WHERE coalesce(quality, -1) = -1 AND n_chars > 500 AND lang IN ('en', 'de')")
 def work_queue(spark, d):
     j = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
     return manifest.work_queue(j, F.coalesce("quality", F.lit(-1)) != -1, [F.col("n_chars") > 500, F.col("lang").isin("en", "de")]).select("doc_id", "source")
 
 
-@query("gate_unless_empty", "F2 D4", "SELECT count(*) AS kept FROM orders WHERE o_totalprice < 50000")
+@query("gate_unless_empty", "D4", "SELECT count(*) AS kept FROM orders WHERE o_totalprice < 50000")
 def gate_unless_empty(spark, d):
     """An empty allow-set means that nothing passes."""
     o = table(spark, d, "orders")
     return o.join(o.where("o_totalprice < 50000").select("o_orderkey"), "o_orderkey", "left_semi").agg(F.count("*").alias("kept"))
 
 
-@query("incremental_skip", "K6 R2", "SELECT p.l_orderkey, p.l_linenumber FROM lineitem p WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND NOT EXISTS (SELECT 1 FROM orders w WHERE w.o_orderkey = p.l_orderkey AND abs(w.o_totalprice - p.l_extendedprice) <= 100000)")
+@query("incremental_skip", "K6", "SELECT p.l_orderkey, p.l_linenumber FROM lineitem p WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND NOT EXISTS (SELECT 1 FROM orders w WHERE w.o_orderkey = p.l_orderkey AND abs(w.o_totalprice - p.l_extendedprice) <= 100000)")
 def incremental_skip(spark, d):
     p = table(spark, d, "lineitem").where("l_shipdate >= timestamp '1998-01-01'").select(F.col("l_orderkey").alias("key"), "l_linenumber", F.col("l_extendedprice").alias("price"))
     w = table(spark, d, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("price"))

@@ -421,3 +421,25 @@ def test_decoders_in_turn_and_missing_masks(spark):
     found = spark.createDataFrame([("a", 1, 5, [2, 3])], "clip string, frame int, obj int, counts array<int>")
     got = files.with_missing_masks(planned, objects, found, "clip", "frame", "obj", F.lit(5)).orderBy("frame").collect()
     assert [r.counts for r in got] == [[5], [2, 3]]
+
+
+def test_tiling_ties_between_different_ratios(spark):
+    """1000 x 800 is a quarter off 1/1 and 3/2: the last one whose tiles the image half fills wins; a small image takes the first."""
+    one = spark.range(1).select(geometry.closest_tiling(F.lit(1.25), 12, F.lit(1000 * 800)).alias("a"), geometry.closest_tiling(F.lit(1.25), 12, F.lit(100)).alias("b"), geometry.closest_tiling(F.lit(1.25), 6, F.lit(1000 * 800)).alias("c")).first()
+    fold = None
+    for w, h in sorted(((w, h) for w in range(1, 13) for h in range(1, 13) if w * h <= 12), key=lambda x: (x[0] * x[1], x)):
+        off = abs(1.25 - w / h)
+        if fold is None or off < fold[0] or off == fold[0] and 800_000 > 0.5 * 448 * 448 * w * h:
+            fold = off, w, h
+    assert tuple(one.a) == fold[1:] and tuple(one.c) == (3, 2) and one.b.w * one.b.h <= one.a.w * one.a.h
+
+
+def test_contact_of_narrow_masks_is_their_intersection():
+    hands, objects = np.zeros((4, 455), bool), np.zeros((4, 455), bool)
+    hands[:, :5], objects[:, 4:9] = True, True
+    assert masks.contact_boundary(hands, objects).sum() == 4
+
+
+def test_subset_of_unknown_classes():
+    with pytest.raises(ValueError, match="no such classes: cat"):
+        text.class_subset(F.lit(0), ["dog"], ["cat"])
