@@ -8,6 +8,7 @@ longest text and not by the batch that Spark sends.
 from __future__ import annotations
 
 import atexit
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -152,6 +153,13 @@ def free(*cuts: DataFrame) -> None:
         delete_path(df.sparkSession, df._cut_path)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Have Spark drop the shuffle files of finished stages now: its cleaner follows the garbage collection of the driver, which may be
+    long in coming while the driver has little to do."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def cuts_so_far(spark: SparkSession) -> int:
     return len(_OPEN.get(spark.sparkContext.applicationId, ()))
 
@@ -160,6 +168,7 @@ def free_between(spark: SparkSession, first: int, last: int) -> None:
     """Delete the cuts numbered first to last - 1, in the order in which they were made."""
     for path in _OPEN.get(spark.sparkContext.applicationId, ())[first:last]:
         delete_path(spark, path)
+    tidy(spark)
 
 
 def drop_cuts(spark: SparkSession) -> None:

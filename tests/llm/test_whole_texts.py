@@ -4,6 +4,7 @@ import hashlib
 import math
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -53,8 +54,9 @@ def test_states_emit_every_word(spark, monkeypatch):
     rows = table.collect()
     distinct = {w for t in seen for w in t.split()}
     assert len(rows) == len(distinct) + 1 and len(vocab.words) < len(distinct)
-    n, expected = np.array([r.n for r in rows]), np.array([[r[x] for x in hmm._S] for r in rows])
-    assert expected.sum(1) == pytest.approx(n, abs=1e-4)
+    expected = np.array([[r[x] for x in hmm._S] for r in rows])
+    n = np.rint(expected.sum(1))
+    assert expected.sum(1) == pytest.approx(n, abs=1e-4) and sorted(n) == sorted([*Counter(w for t in seen for w in t.split()).values(), len(seen)])
     emission = hmm.Emission(expected.sum(0), vocab.total, vocab.distinct)
     unknown = emission(np.zeros(1), np.zeros((1, hmm.STATES)))[0]
     emit = emission(n, expected)
