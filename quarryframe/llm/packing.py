@@ -25,6 +25,7 @@ from .textkit import chunks, cut
 CAPACITY = 1024
 END_ID = 0
 BUCKET_ROWS = 50_000
+FULL_BUCKET_ROWS = 5_000  # of full pieces, which may carry 4 KB of ids each
 #: Runs of white space (Unicode's) of this length and more are encoded past the pattern, whose search would backtrack through them.
 LONG_RUN = 1000
 _LONG_RUN = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
@@ -154,7 +155,8 @@ def pack(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     key = ["length", "doc_id", "start", "ids_crc32", "doc_tokens"]
     rows = pieces.count()
     buckets = max(8, math.ceil(rows / BUCKET_ROWS))
-    spread = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(buckets)).cast("int"))
+    several = F.when(F.col("length") == CAPACITY, F.lit(max(8, math.ceil(rows / FULL_BUCKET_ROWS)))).otherwise(F.lit(buckets))
+    spread = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), several).cast("int"))
     # Rank within the length: counts of small (length, bucket) groups give offsets, so that no task sees all pieces of a length.
     groups = cut(spread.groupBy("length", "bucket").agg(F.count("*").alias("n")))
     before = groups.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n")).select("length", "bucket", "before")
@@ -174,7 +176,7 @@ def pack(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     table = spark.createDataFrame([(k, v) for k, v in by_length.items()], "length long, intervals array<struct<low: long, high: long, uses: long, sequence: long, place: long>>")
     flat = table.select("length", F.inline("intervals")).where("high > low")
     inner = Window.partitionBy("length", "bucket").orderBy(*key[1:])
-    ranked = spread.withColumn("rank", F.row_number().over(inner) - 1).join(F.broadcast(before) if len(counts) * buckets < 200_000 else before, ["length", "bucket"])
+    ranked = spread.withColumn("rank", F.row_number().over(inner) - 1).join(F.broadcast(before) if len(counts) * buckets + rows / FULL_BUCKET_ROWS < 200_000 else before, ["length", "bucket"])
     ranked = ranked.withColumn("rank", F.col("rank") + F.col("before")).drop("before", "bucket")
     placed = ranked.join(F.broadcast(flat), "length").where("rank >= low and rank < high")
     return placed.select(
