@@ -17,7 +17,7 @@ tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables")
 def test_masklets_of_all_frames(spark):
     from quarryframe.plans import REGISTRY
 
-    got = REGISTRY["masklet_rows_all"].build(spark, FOLDER)
+    got = REGISTRY["masklet_rows"].build(spark, FOLDER)
     assert got.count() == 2 * spark.read.parquet(f"{FOLDER}/events.parquet").count()
 
 
