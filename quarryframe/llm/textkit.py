@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import atexit
 import gc
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -155,9 +156,11 @@ def free(*cuts: DataFrame) -> None:
 
 def tidy(spark: SparkSession) -> None:
     """Have Spark drop the shuffle files of finished stages now: its cleaner follows the garbage collection of the driver, which may be
-    long in coming while the driver has little to do."""
+    long in coming while the driver has little to do. It takes two: the first lets go of what Python held in the JVM."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    time.sleep(1)
+    spark.sparkContext._jvm.System.gc()
 
 
 def cuts_so_far(spark: SparkSession) -> int:
