@@ -43,3 +43,25 @@ def stab(points: DataFrame, ranges: DataFrame, keys: Sequence[str], at: str, sta
     r = ranges.where(F.col(stop) > F.col(start)).withColumn("_bucket", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor((F.col(stop) - 1) / width))))
     p = points.withColumn("_bucket", F.floor(F.col(at) / width))
     return p.join(r, [*keys, "_bucket"]).where((F.col(at) >= F.col(start)) & (F.col(at) < F.col(stop))).drop("_bucket")
+
+
+def written_clips(frames: DataFrame, segments: DataFrame, key: str, frame: str, good: str, segment: str, start: str, stop: str, patience: int = 24) -> DataFrame:
+    """Clips that are written while a video is decoded: segment, start, how many frames it gets.
+
+    Only frames of the merged ranges are decoded. A segment opens at its start if that frame is good, else never. Each decoded frame
+    from there adds one (a bad one repeats the last good one). It closes at the first good frame from stop - 1 on; `patience` bad
+    frames in a row close all open segments, and are then counted anew; the end of decoding closes the rest.
+    """
+    ranges = merge_ranges(segments.select(key, start, stop), [key], start, stop).select(key, start, stop)
+    seen = stab(frames.select(key, frame, F.col(good).alias("_good")), ranges, [key], frame, start, stop, 64).select(key, frame, "_good")
+    order = Window.partitionBy(key).orderBy(frame)
+    ahead = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    seen = seen.withColumns({"_at": F.row_number().over(order), "_after": F.count_if("_good").over(order)})
+    bad = F.count_if(~F.col("_good")).over(Window.partitionBy(key, "_after").orderBy(frame))
+    seen = seen.withColumn("_flush", ~F.col("_good") & (bad % patience == 0))
+    last = F.max("_at").over(Window.partitionBy(key))
+    seen = seen.withColumns({"_flushed": F.coalesce(F.min(F.when(F.col("_flush"), F.col("_at"))).over(ahead), last), "_closed": F.coalesce(F.min(F.when(F.col("_good"), F.col("_at"))).over(ahead), last)})
+    opened = seen.where("_good").select(key, F.col(frame).alias(start), "_at", "_flushed")
+    closing = seen.select(key, (F.col(frame) + 1).alias(stop), "_closed")
+    joined = segments.select(key, segment, start, stop).join(opened, [key, start]).join(closing, [key, stop])
+    return joined.select(key, segment, start, (F.least("_flushed", "_closed") - F.col("_at") + 1).alias("written"))

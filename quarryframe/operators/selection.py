@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .manifest import with_global_rank
+
 
 def upper_iqr_fence(df: DataFrame, keys: Sequence[str], value: str, least: int = 3, reach: float = 1.5) -> DataFrame:
     """Keep rows with value <= q3 + reach * (q3 - q1); groups of under `least` rows keep all, and so does a group that would lose all."""
@@ -48,9 +50,25 @@ def objects_of_first_frame(df: DataFrame, keys: Sequence[str], frame: str, obj:
     return df.join(kept, [*keys, obj], "left_semi").select(df.columns)
 
 
+def seeded_hash(key: Sequence[str], seed: int) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))
+
+
 def hash_sample(df: DataFrame, key: Sequence[str], n: int, seed: int = 0) -> DataFrame:
     """n rows without replacement, uniform over seeds: those with the smallest seeded hash. Repeatable, and a top-k in the plan."""
-    return df.orderBy(F.xxhash64(*key, F.lit(seed)), *key).limit(n)
+    return df.orderBy(seeded_hash(key, seed), *key).limit(n)
+
+
+def resumable_sample(df: DataFrame, key: str, workers: int, seed: int = 0, epoch: int = 0, done: int = 0) -> DataFrame:
+    """Who reads which row when in one epoch: key, worker, step. Rows are permuted by a hash seeded with seed + epoch and dealt out in
+    turn; the permutation starts again until all workers have equally many. Steps before `done` are left out, so a run resumes
+    where it ended."""
+    n = df.count()
+    total = -(-n // workers) * workers
+    ranked = with_global_rank(df.select(key, seeded_hash([key], seed + epoch).alias("_hash")), ["_hash", key], "_rank")
+    rounds = F.sequence(F.lit(0), F.lit(max(total - 1, 0) // max(n, 1)))
+    dealt = ranked.select(key, F.explode(F.transform(rounds, lambda r: F.col("_rank") + r * n)).alias("_at")).where(F.col("_at") < total)
+    return dealt.select(key, (F.col("_at") % workers).alias("worker"), F.floor(F.col("_at") / workers).alias("step")).where(F.col("step") >= done)
 
 
 def split_label(rank: Column, rows: Column, fractions: dict[str, float], rest: str) -> Column:

@@ -267,25 +267,6 @@ class PoseTracker:
         return self.log
 
 
-def write_segments(good: list[bool], windows: list[tuple[int, int]], patience: int = 24) -> list[tuple[int, int, int]]:
-    """Clip writing over decoded frames: (window, first written, frames written). A segment opens at its first good frame, repeats
-    the last good frame over gaps, closes at its end, or where `patience` failures in a row end all open segments."""
-    out, failed, closed = [], 0, set()
-    opened: dict[int, int] = {}
-    for t, ok in enumerate(good):
-        failed = 0 if ok else failed + 1
-        for i, (a, b) in enumerate(windows):
-            if a <= t < b and i not in closed:
-                if i not in opened and ok:
-                    opened[i] = t
-                if i in opened and (t == b - 1 or failed >= patience):
-                    out.append((i, opened.pop(i), 0))
-                    closed.add(i)
-                    first = out[-1][1]
-                    out[-1] = (i, first, (t if failed >= patience else t + 1) - first)
-    return sorted(out)
-
-
 def best_scale(loss: Callable[[float], float], low: float, high: float, steps: int = 60) -> float:
     """Bounded one-dimensional minimisation in log scale by golden sections."""
     a, b, g = math.log(low), math.log(high), (math.sqrt(5) - 1) / 2

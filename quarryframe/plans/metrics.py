@@ -218,7 +218,12 @@ def mask_morphology(spark, d):
     return rows.mapInPandas(run, "clip long, area long, opened_area long, n_components long, boundary_pixels long, boundary_f double")
 
 
-@query("chamfer_distance", "A27 J18", None)
+@query(
+    "chamfer_distance", "A27 J18",
+    """WITH e AS (SELECT label, vec_id, CAST(embedding[1:3] AS DOUBLE[]) AS p FROM embeddings), d AS (SELECT a.label, a.vec_id AS i, b.vec_id AS j, list_distance(a.p, b.p) AS d FROM e a JOIN e b ON b.label = a.label + 1),
+    x AS (SELECT label, avg(d) AS m FROM (SELECT label, i, min(d) AS d FROM d GROUP BY 1, 2) GROUP BY 1), y AS (SELECT label, avg(d) AS m FROM (SELECT label, j, min(d) AS d FROM d GROUP BY 1, 2) GROUP BY 1)
+    SELECT l.label, coalesce(round(x.m + y.m, 6), CAST('infinity' AS DOUBLE)) AS chamfer FROM (SELECT label FROM e UNION SELECT label - 1 FROM e) l LEFT JOIN x USING (label) LEFT JOIN y USING (label)""",
+)
 def chamfer_distance(spark, d):
     """Chamfer distance between the points (three vector dimensions) of neighbouring labels."""
     import numpy as np
@@ -231,7 +236,7 @@ def chamfer_distance(spark, d):
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         a, b = (np.array(group.loc[group["side"] == s, "p"].tolist()).reshape(-1, 3) for s in (0, 1))
-        return pd.DataFrame({"label": [group["label"].iloc[0]], "chamfer": [chamfer(a, b)]})
+        return pd.DataFrame({"label": [group["label"].iloc[0]], "chamfer": [round(chamfer(a, b), 6)]})
 
     return both.groupBy("label").applyInPandas(run, "label int, chamfer double")
 

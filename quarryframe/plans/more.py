@@ -48,12 +48,16 @@ def numeric_stem_order(spark, d):
     return manifest.with_global_rank(stems, ["number"]).select("stem", (F.col("rank") + 1).alias("rank"))
 
 
-@query("mixture", "U7", None)
+@query(
+    "mixture", "U7",
+    "WITH h AS (SELECT c_custkey, c_mktsegment, md5(c_custkey || ':1') AS h FROM customer) SELECT c_custkey, c_mktsegment FROM h WHERE CAST('0x' || substr(h, 1, 8) AS BIGINT) % 10000 < CASE c_mktsegment WHEN 'BUILDING' THEN 5000 WHEN 'MACHINERY' THEN 2500 ELSE 1000 END",
+)
 def mixture(spark, d):
     """Rows drawn from three sources by fixed shares, by a seeded hash."""
     c = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
     share = F.when(F.col("c_mktsegment") == "BUILDING", 0.5).when(F.col("c_mktsegment") == "MACHINERY", 0.25).otherwise(0.1)
-    return c.where(F.pmod(F.xxhash64("c_custkey", F.lit(1)), F.lit(10_000)) < share * 10_000)
+    ticket = F.conv(F.substring(F.md5(F.concat_ws(":", "c_custkey", F.lit("1"))), 1, 8), 16, 10).cast("long") % 10_000
+    return c.where(ticket < share * 10_000)
 
 
 def _dense(counts, rows: int = 10) -> np.ndarray:
@@ -113,7 +117,7 @@ def scale_search(spark, d):
     return rows.groupBy("label").applyInPandas(run, "label int, scale double")
 
 
-@query("training_clips", "N3 N5", None)
+@query("training_clips", "N3", None)
 def training_clips(spark, d):
     """Eight neighbouring frames of each clip, seeded by the clip, backwards for half of them."""
     n = frames(spark, d).groupBy("clip").agg(F.count("*").alias("n")).where("n >= 8")
@@ -125,6 +129,14 @@ def training_clips(spark, d):
     return n.mapInPandas(run, "clip long, frames array<long>")
 
 
+@query(
+    "resumable_sample", "N5",
+    "WITH r AS (SELECT c_custkey, row_number() OVER (ORDER BY md5('12|' || c_custkey)) - 1 AS pos, count(*) OVER () AS n FROM customer), p AS (SELECT c_custkey, pos + n * k AS pos, n FROM r, range(0, 2) t(k)) SELECT c_custkey, pos % 7 AS worker, pos // 7 AS step FROM p WHERE pos < ceil(n / 7) * 7 AND pos // 7 >= 3",
+)
+def resumable_sample(spark, d):
+    return selection.resumable_sample(table(spark, d, "customer"), "c_custkey", 7, seed=10, epoch=2, done=3)
+
+
 @query("top_assets", "O6 W7", "SELECT p_brand, p_partkey, rank FROM (SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS rank FROM part) WHERE rank <= 3")
 def top_assets(spark, d):
     return selection.top_k(table(spark, d, "part").select("p_brand", "p_partkey", "p_retailprice"), ["p_brand"], [F.desc("p_retailprice"), F.col("p_partkey")], 3).select("p_brand", "p_partkey", F.col("rank").cast("long").alias("rank"))

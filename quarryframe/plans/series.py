@@ -170,7 +170,7 @@ def stabbing(spark, d):
 
 
 @query(
-    "merge_frame_ranges", "A3 S6",
+    "merge_frame_ranges", "A3",
     f"""WITH f AS ({FRAMES}), r AS (SELECT clip, greatest(frame - 3, 0) AS a, frame + 4 AS b FROM f WHERE value > 45),
     m AS (SELECT *, max(b) OVER (PARTITION BY clip ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM r),
     i AS (SELECT *, sum(CASE WHEN a <= reach THEN 0 ELSE 1 END) OVER (PARTITION BY clip ORDER BY a, b) AS island FROM m)
@@ -181,6 +181,20 @@ def merge_frame_ranges(spark, d):
     return intervals.merge_ranges(r, ["clip"], "a", "b")
 
 
+@query(
+    "written_clips", "S6",
+    f"""WITH f AS ({FRAMES}), m AS (SELECT clip, max(frame) AS mx FROM f GROUP BY clip), s AS (SELECT f.clip, event_id AS seg, frame AS a, least(frame + 3 + event_id % 30, mx) AS b FROM f JOIN m USING (clip) WHERE event_type = 'purchase' AND frame < mx),
+    i AS (SELECT clip, frame, value > 20 AS ok, row_number() OVER (PARTITION BY clip ORDER BY frame) AS pos FROM f WHERE EXISTS (SELECT 1 FROM s WHERE s.clip = f.clip AND f.frame >= a AND f.frame < b)),
+    q AS (SELECT *, pos - coalesce(max(CASE WHEN ok THEN pos END) OVER (PARTITION BY clip ORDER BY frame), 0) AS bad, max(pos) OVER (PARTITION BY clip) AS last FROM i)
+    SELECT s.clip, seg, a, min(x.pos) - o.pos + 1 AS written FROM s JOIN q o ON o.clip = s.clip AND o.frame = a AND o.ok JOIN q x ON x.clip = s.clip AND x.pos >= o.pos AND (x.ok AND x.frame >= b - 1 OR NOT x.ok AND x.bad % 3 = 0 OR x.pos = x.last)
+    GROUP BY s.clip, seg, a, o.pos""",
+)
+def written_clips(spark, d):
+    f = frames(spark, d).select("clip", "frame", "event_id", "event_type", (F.col("value") > 20).alias("ok"), F.max("frame").over(Window.partitionBy("clip")).alias("mx"))
+    s = f.where("event_type = 'purchase' and frame < mx").select("clip", F.col("event_id").alias("seg"), F.col("frame").alias("a"), F.least(F.col("frame") + 3 + F.col("event_id") % 30, "mx").alias("b"))
+    return intervals.written_clips(f, s, "clip", "frame", "ok", "seg", "a", "b", 3).withColumn("written", F.col("written").cast("long"))
+
+
 @query("linspace_pick", "P10", f"WITH f AS ({FRAMES}), n AS (SELECT clip, count(*) AS n FROM f GROUP BY clip), i AS (SELECT clip, n, unnest(range(0, 8)) AS i FROM n) SELECT clip, i AS pick, CAST(floor(i * (n - 1) / 7.0) AS BIGINT) AS frame FROM i")
 def linspace_pick(spark, d):
     n = frames(spark, d).groupBy("clip").agg(F.count("*").alias("n"))

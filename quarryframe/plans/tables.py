@@ -210,7 +210,7 @@ def split_by_fraction(spark, d):
     return c.join(F.broadcast(n)).groupBy(selection.split_label(F.col("k"), F.col("n"), {"train": 0.7, "test": 0.2}, "val").alias("split")).agg(F.count("*").alias("n"))
 
 
-@query("seeded_sample", "N1 O6", None)
+@query("seeded_sample", "N1 O6", "SELECT c_custkey, c_name FROM customer ORDER BY md5('7|' || c_custkey), c_custkey LIMIT 50")
 def seeded_sample(spark, d):
     return selection.hash_sample(table(spark, d, "customer").select("c_custkey", "c_name"), ["c_custkey"], 50, 7)
 
@@ -240,7 +240,13 @@ def overlap_average(spark, d):
     return px.groupBy("p_partkey", "x").agg(F.count("*").alias("covers"), F.round(F.sum(F.col("x0") + 1) / F.count("*"), 6).alias("mean_score"))
 
 
-@query("balanced_groups", "S7", None)
+@query(
+    "balanced_groups", "S7",
+    """WITH RECURSIVE i AS (SELECT c_nationkey, count(*) AS load, row_number() OVER (ORDER BY count(*) DESC, c_nationkey) AS k FROM customer GROUP BY 1),
+    r AS (SELECT CAST(0 AS BIGINT) AS k, CAST([0, 0, 0, 0] AS BIGINT[]) AS sums, CAST(0 AS BIGINT) AS g, CAST(0 AS INT) AS c_nationkey, CAST(0 AS BIGINT) AS load
+    UNION ALL SELECT i.k, [CASE WHEN j = list_position(sums, list_min(sums)) THEN sums[j] + i.load ELSE sums[j] END FOR j IN range(1, 5)], list_position(sums, list_min(sums)) - 1, i.c_nationkey, i.load FROM r JOIN i ON i.k = r.k + 1)
+    SELECT CAST(g AS INT) AS grp, c_nationkey, load FROM r WHERE k > 0""",
+)
 def balanced_groups(spark, d) -> DataFrame:
     """Loads of the nations' customers over 4 groups: a list of 25 loads, so the greedy part runs where the list is."""
     from quarryframe.operators.stateful import balanced_groups as lpt

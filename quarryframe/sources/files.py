@@ -31,8 +31,50 @@ def latest_by_stem(files: DataFrame) -> DataFrame:
     return files.groupBy("stem").agg(F.max("path").alias("path"))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def write_file(spark: SparkSession, path: str, content: bytes) -> None:
+    """One small file on any store that Spark knows. It is written under another name and then renamed, so readers see all of it or none."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    target, part = hadoop.Path(path), hadoop.Path(f"{path}.part")
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = store.create(part, True)
+    out.write(bytearray(content))
+    out.close()
+    store.delete(target, False)
+    store.rename(part, target)
+
+
+def cached_listing(spark: SparkSession, root: str, extensions: list[str], cache: str, refresh: bool = False) -> DataFrame:
+    """The listing kept at `cache`; the folder itself is read only where there is none yet, or on refresh. A kept listing wins over
+    what has changed on disk since."""
+    if refresh or not path_exists(spark, cache):
+        list_files(spark, root, extensions).write.mode("overwrite").parquet(cache)
+    return spark.read.parquet(cache)
+
+
+def labelled_images(spark: SparkSession, root: str, suffix: str, label_suffix: str, split: str | None = None) -> DataFrame:
+    """(image, label) names: one for each line of a split file, in its order, or for each file below `root` that ends in `suffix`, sorted."""
+    if split is not None:
+        name = F.trim("value")
+        return spark.read.text(split).select(F.concat(name, F.lit(suffix)).alias("image"), F.concat(name, F.lit(label_suffix)).alias("label"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(F.regexp_replace("path", "^[a-z0-9]+:/+", "/").alias("path"))
+    below = F.col("path").substr(F.instr("path", root.rstrip("/")) + len(root.rstrip("/")) + 1, F.length("path"))
+    found = files.select(below.alias("image")).where(F.endswith("image", F.lit(suffix)))
+    return found.select("image", F.replace("image", F.lit(suffix), F.lit(label_suffix)).alias("label")).orderBy("image")
+
+
+def write_statistics(statistics: DataFrame, path: str) -> None:
+    """Aggregates (a few rows) as JSON lines in one file."""
+    statistics.coalesce(1).write.mode("overwrite").json(path)
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CLIPS).option("header", True).csv(path)
+    """A manifest of clips; quotes inside a field are doubled."""
+    return spark.read.schema(CLIPS).option("header", True).option("escape", '"').csv(path)
 
 
 def read_clip_meta(spark: SparkSession, path: str) -> DataFrame:
@@ -41,7 +83,7 @@ def read_clip_meta(spark: SparkSession, path: str) -> DataFrame:
 
 def stage_records(spark: SparkSession, pattern: str, schema: str) -> DataFrame:
     """All shard CSVs of a stage; unreadable files and rows are skipped."""
-    return spark.read.schema(schema).option("header", True).option("mode", "DROPMALFORMED").option("ignoreCorruptFiles", "true").csv(pattern)
+    return spark.read.schema(schema).option("header", True).option("escape", '"').option("mode", "DROPMALFORMED").option("ignoreCorruptFiles", "true").csv(pattern)
 
 
 def archive_arrays(content: bytes) -> Iterator[tuple[int, np.ndarray]]:

@@ -306,7 +306,6 @@ def test_small_solvers():
     assert stateful.frame_scale(2 * x, x) == pytest.approx(2)
     assert stateful.cluster_poses([np.eye(4), np.eye(4)], 1, 0.1) == [0, 0]
     assert stateful.largest_dbscan_cluster(np.array([[0, 0, 0], [0.1, 0, 0], [9, 9, 9.0]]), 0.5, 2).tolist() == [True, True, False]
-    assert stateful.write_segments([False, True, True, False, True], [(0, 3), (2, 5)]) == [(0, 1, 2), (1, 2, 3)]
 
 
 def test_nearest_vectors_equal_brute_force(spark):
@@ -443,3 +442,55 @@ def test_contact_of_narrow_masks_is_their_intersection():
 def test_subset_of_unknown_classes():
     with pytest.raises(ValueError, match="no such classes: cat"):
         text.class_subset(F.lit(0), ["dog"], ["cat"])
+
+
+def clips_loop(good, segments, patience):
+    """The writer as a loop over the decoded frames: which frames each segment gets."""
+    out, opened, failed = {}, set(), 0
+    for t in sorted({t for _, a, b in segments for t in range(a, b)}):
+        if good[t]:
+            failed = 0
+            opened |= {s for s, a, _ in segments if a == t}
+            for s in opened:
+                out[s] = out.get(s, 0) + 1
+            opened -= {s for s, _, b in segments if t >= b - 1}
+            continue
+        failed += 1
+        for s in opened:
+            out[s] = out.get(s, 0) + 1
+        if failed == patience:
+            opened, failed = set(), 0
+    return out
+
+
+def test_written_clips_equal_a_loop(spark):
+    rng, frames, segments, want = random.Random(3), [], [], set()
+    for clip in range(12):
+        good = [rng.random() < (0.3 + 0.05 * clip) for _ in range(80)]
+        own = [(clip * 100 + i, a, min(a + rng.randint(1, 25), 80)) for i, a in enumerate(rng.choices(range(79), k=6))]
+        frames += [(clip, t, g) for t, g in enumerate(good)]
+        segments += [(clip, *s) for s in own]
+        want |= {(s, n) for s, n in clips_loop(good, own, 3).items()}
+    f, s = spark.createDataFrame(frames, "clip int, frame long, good boolean"), spark.createDataFrame(segments, "clip int, seg int, a long, b long")
+    got = intervals.written_clips(f, s, "clip", "frame", "good", "seg", "a", "b", 3).collect()
+    assert {(r.seg, r.written) for r in got} == want and len(got) == len(want)
+
+
+def test_resumable_sample_deals_evenly(spark):
+    for n, workers in ((3, 7), (10, 4), (12, 4), (0, 3)):
+        rows = selection.resumable_sample(spark.range(n), "id", workers, seed=5).collect()
+        steps = -(-n // workers)
+        assert sorted((r.worker, r.step) for r in rows) == [(w, s) for w in range(workers) for s in range(steps)]
+        assert {r.id for r in rows} == set(range(n))
+        later = selection.resumable_sample(spark.range(n), "id", workers, seed=5, done=1).collect()
+        assert sorted(later) == sorted(r for r in rows if r.step >= 1)
+
+
+def test_unknown_sources_are_errors(spark):
+    from quarryframe.sources import plugins
+
+    plugins.register("empty", plugins.Source({}, "a int", lambda row: None))
+    with pytest.raises(ValueError, match="Invalid source"):
+        plugins.by_name("empty").metadata(spark, "x")
+    with pytest.raises(ValueError, match="no source"):
+        plugins.by_name("absent")
