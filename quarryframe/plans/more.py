@@ -15,7 +15,7 @@ from .registry import query
 from .series import FRAMES, frames
 
 
-@query("annotated_assets", "J7 R17", "SELECT p.page_id, d.doc_id, d.source FROM pages p JOIN documents d ON p.page_id = d.doc_id WHERE d.doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")
+@query("annotated_assets", "J7", "SELECT p.page_id, d.doc_id, d.source FROM pages p JOIN documents d ON p.page_id = d.doc_id WHERE d.doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")
 def annotated_assets(spark, d):
     p, docs = table(spark, d, "pages"), table(spark, d, "documents").select("doc_id", "source")
     good = docs.join(table(spark, d, "labels").where("quality = 1"), "doc_id", "left_semi")
@@ -42,7 +42,7 @@ def work_units(spark, d):
     return table(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"))
 
 
-@query("numeric_stem_order", "R8 O1 R1", "SELECT stem, row_number() OVER (ORDER BY CAST(stem AS INT)) AS rank FROM (SELECT CAST(n_nationkey AS VARCHAR) AS stem FROM nation)")
+@query("numeric_stem_order", "R8 O1", "SELECT stem, row_number() OVER (ORDER BY CAST(stem AS INT)) AS rank FROM (SELECT CAST(n_nationkey AS VARCHAR) AS stem FROM nation)")
 def numeric_stem_order(spark, d):
     stems = table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("stem"), F.col("n_nationkey").cast("int").alias("number"))
     return manifest.with_global_rank(stems, ["number"]).select("stem", (F.col("rank") + 1).alias("rank"))

@@ -285,7 +285,7 @@ def window_counts(spark, d):
     return sessions.tumbling_counts(table(spark, d, "events"), "ts", "1 day", "1 hour", "event_type")
 
 
-@query("log_pivot", "A30 R16", "SELECT user_id, event_type, list(round(value, 4) ORDER BY ts, event_id) AS series, count(*) AS n FROM events GROUP BY 1, 2")
+@query("log_pivot", "A30", "SELECT user_id, event_type, list(round(value, 4) ORDER BY ts, event_id) AS series, count(*) AS n FROM events GROUP BY 1, 2")
 def log_pivot(spark, d):
     cells = F.sort_array(F.collect_list(F.struct("ts", "event_id", F.round("value", 4).alias("v"))))
     return table(spark, d, "events").groupBy("user_id", "event_type").agg(F.transform(cells, lambda x: x["v"]).alias("series"), F.count("*").alias("n"))

@@ -264,7 +264,7 @@ def balanced_groups(spark, d) -> DataFrame:
     return loads.mapInPandas(run, "grp int, c_nationkey int, load long")
 
 
-@query("allow_deny", "R13 R15", "SELECT c_name FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1) AND c_mktsegment <> 'BUILDING'")
+@query("allow_deny", "R13", "SELECT c_name FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1) AND c_mktsegment <> 'BUILDING'")
 def allow_deny(spark, d):
     from quarryframe.sources.files import allow_and_deny
 
@@ -273,7 +273,7 @@ def allow_deny(spark, d):
     return allow_and_deny(c.select("c_name"), "c_name", allowed, [c.where("c_mktsegment = 'BUILDING'").select("c_name")])
 
 
-@query("flag_table", "T18 U1", "SELECT o_orderkey, 'priced' AS stage, o_totalprice > 100000 AS done FROM orders UNION ALL SELECT o_orderkey, 'urgent', o_orderpriority LIKE '1%' FROM orders")
+@query("flag_table", "T18", "SELECT o_orderkey, 'priced' AS stage, o_totalprice > 100000 AS done FROM orders UNION ALL SELECT o_orderkey, 'urgent', o_orderpriority LIKE '1%' FROM orders")
 def flag_table(spark, d):
     wide = table(spark, d, "orders").select("o_orderkey", (F.col("o_totalprice") > 100000).alias("latent_priced"), F.col("o_orderpriority").like("1%").alias("latent_urgent"))
     return manifest.flag_table(wide, "o_orderkey", "latent_")
