@@ -2,6 +2,7 @@
 
 import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -149,6 +150,13 @@ def test_tiles_and_splits(spark):
     assert (got.a, got.b) == ([0, 30, 60], [0])
 
 
+def test_fractions_are_decimal_numbers(spark):
+    for n, shares in ((90_000, {"train": 0.7, "test": 0.2}), (100, {"train": 0.29, "test": 0.57}), (7, {"train": 1e-5, "test": 1 / 3})):
+        got = {r.s: r["count"] for r in spark.range(n).groupBy(selection.split_label(F.col("id"), F.lit(n), shares, "val").alias("s")).count().collect()}
+        want = {k: math.floor(n * Fraction(str(v))) for k, v in shares.items()}
+        assert got == {k: v for k, v in (want | {"val": n - sum(want.values())}).items() if v}
+
+
 def test_sample_is_repeatable(spark):
     df = spark.range(200)
     a, b = ({r.id for r in selection.hash_sample(df.repartition(p), ["id"], 20, 3).collect()} for p in (2, 5))
