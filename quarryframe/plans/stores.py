@@ -119,14 +119,14 @@ def masklet_rows(spark, d):
 
 @query("amodal_rows", "R19", "SELECT s_nationkey AS video_id, s_suppkey AS frame, s_suppkey * 10 AS track_id, 6 AS area, s_suppkey + 0.5 AS x, s_suppkey % 7 + 4.0 AS amodal_w FROM supplier")
 def amodal_rows(spark, d):
-    """Amodal annotation JSON of one video each; an annotation of an unlisted image is left out."""
+    """Amodal annotation JSON, in texts of a video's frames of one thousand; an annotation of an unlisted image is left out."""
     key = F.col("s_suppkey")
     image = F.struct(key.alias("id"), F.col("s_nationkey").cast("long").alias("video_id"), key.alias("frame_index"))
     mark = lambda at: F.struct(
         at.alias("image_id"), (key * 10).alias("track_id"), F.struct(F.array(F.lit(4), F.lit(5)).alias("size"), F.lit(masks.to_compressed([3, 6, 11])).alias("counts")).alias("segmentation"),
         F.array(key + 0.5, F.lit(1.0), F.lit(2.0), F.lit(3.0)).alias("bbox"), F.array(key + 0.5, F.lit(1.0), key % 7 + F.lit(4.0), F.lit(3.0)).alias("amodal_bbox"),
     )
-    rows = table(spark, d, "supplier").groupBy("s_nationkey").agg(F.collect_list(image).alias("images"), F.flatten(F.collect_list(F.array(mark(key), mark(-key - 1)))).alias("annotations"))
+    rows = table(spark, d, "supplier").groupBy("s_nationkey", F.expr("s_suppkey div 1000")).agg(F.collect_list(image).alias("images"), F.flatten(F.collect_list(F.array(mark(key), mark(-key - 1)))).alias("annotations"))
 
     def area(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -176,12 +176,20 @@ def with_missing_masks(frames: DataFrame, objects: DataFrame, masks: DataFrame,
 
 def amodal_annotations(texts: DataFrame) -> DataFrame:
     """Annotation JSON texts (value) -> one row for each annotation whose image is listed: video_id, frame, track_id, size, counts,
-    box and amodal_box (x, y, w, h)."""
-    boxes = "bbox array<double>, amodal_bbox array<double>"
-    schema = f"images array<struct<id: bigint, video_id: bigint, frame_index: bigint>>, annotations array<struct<image_id: bigint, track_id: bigint, segmentation: struct<size: array<int>, counts: string>, {boxes.replace(' array', ': array')}>>"
-    raw = texts.select(F.from_json("value", schema).alias("j"))
-    image = F.expr("map_from_entries(transform(j.images, x -> struct(x.id, struct(x.video_id, x.frame_index))))")
-    rows = raw.select(image.alias("image"), F.explode("j.annotations").alias("a")).select(F.try_element_at("image", F.col("a.image_id")).alias("i"), "a").where("i is not null")
+    box and amodal_box (x, y, w, h). Of images with one id in a text the last counts; equal texts give their rows each.
+
+    Images and annotations of a text become rows that meet by the text's digest and the image's id, so neither a text's list of
+    images nor its search is repeated for each annotation.
+    """
+    image = "struct<video_id: bigint, frame_index: bigint>"
+    annotation = "struct<image_id: bigint, track_id: bigint, segmentation: struct<size: array<int>, counts: string>, bbox: array<double>, amodal_bbox: array<double>>"
+    raw = texts.select(F.sha2("value", 256).alias("text"), F.from_json("value", f"images array<{image.replace('<', '<id: bigint, ', 1)}>, annotations array<{annotation}>").alias("j"))
+    listed = F.transform("j.images", lambda x: F.struct(x["id"].alias("id"), F.struct(x["video_id"], x["frame_index"]).cast(image).alias("i"), F.lit(None).cast(annotation).alias("a")))
+    marked = F.transform("j.annotations", lambda x: F.struct(x["image_id"].alias("id"), F.lit(None).cast(image).alias("i"), x.alias("a")))
+    some = lambda rows: F.coalesce(rows, F.array().cast(f"array<struct<id: bigint, i: {image}, a: {annotation}>>"))
+    rows = raw.select("text", F.posexplode(F.concat(some(listed), some(marked))).alias("at", "e")).select("text", "at", "e.*").where("id is not null")
+    last = F.max(F.when(F.col("i").isNotNull(), F.struct("at", "i"))).over(Window.partitionBy("text", "id"))
+    rows = rows.withColumn("i", last["i"]).where("i is not null and a is not null")
     return rows.select("i.video_id", F.col("i.frame_index").alias("frame"), "a.track_id", "a.segmentation.size", "a.segmentation.counts", F.col("a.bbox").alias("box"), F.col("a.amodal_bbox").alias("amodal_box"))
 
 

@@ -1,7 +1,9 @@
 """Operators against plain-Python loops and hand-made edge cases."""
 
+import json
 import math
 import random
+from collections import Counter
 from fractions import Fraction
 
 import numpy as np
@@ -430,6 +432,17 @@ def test_decoders_in_turn_and_missing_masks(spark):
     assert [r.counts for r in got] == [[5], [2, 3]]
 
 
+def test_amodal_annotations_of_a_long_video(spark):
+    n = 12_000
+    mark = lambda i: {"image_id": i, "track_id": 10 * i, "segmentation": {"size": [4, 5], "counts": "x"}, "bbox": [i, 1, 2, 3], "amodal_bbox": [i, 1, 4, 3]}
+    long = {"images": [{"id": i, "video_id": 1, "frame_index": i + 5} for i in range(n)], "annotations": [mark(i) for i in range(-n, n)]}
+    # Two videos use the same ids; an id that is listed twice is the later image.
+    short = {"images": [{"id": 3, "video_id": 2, "frame_index": f} for f in (9, 8)], "annotations": [mark(3), mark(3), mark(4)]}
+    texts = spark.createDataFrame([(json.dumps(x),) for x in (long, short, short)], "value string")
+    got = Counter((r.video_id, r.frame, r.track_id, tuple(r.box)) for r in files.amodal_annotations(texts).collect())
+    assert got == Counter({(2, 8, 30, (3.0, 1.0, 2.0, 3.0)): 4} | {(1, i + 5, 10 * i, (float(i), 1.0, 2.0, 3.0)): 1 for i in range(n)})
+
+
 def test_tiling_ties_between_different_ratios(spark):
     """1000 x 800 is a quarter off 1/1 and 3/2: the last one whose tiles the image half fills wins; a small image takes the first."""
     one = spark.range(1).select(geometry.closest_tiling(F.lit(1.25), 12, F.lit(1000 * 800)).alias("a"), geometry.closest_tiling(F.lit(1.25), 12, F.lit(100)).alias("b"), geometry.closest_tiling(F.lit(1.25), 6, F.lit(1000 * 800)).alias("c")).first()
