@@ -43,6 +43,17 @@ def test_inline_svg_does_not_part_a_block():
     assert [b[0] for b in html.parse("<p>one <svg a='/x'/>two <svg><text>no</text></svg>three</p>")[0]] == ["one two three"]
 
 
+def test_every_round_of_training_runs_over_all_texts(spark):
+    draw = np.random.default_rng(6)
+    docs = spark.createDataFrame([(i, " ".join(f"{'ab'[i % 2]}{k}x" for k in draw.zipf(1.5, 40) % 90)) for i in range(80)], "doc_id long, text string")
+    vocab, _, model, _, encoded = hmm.fit(hmm.prepared(docs))
+    learn = list(hmm.Encoded.parts(iter(encoded.where("not held_out").toArrow().to_batches())))
+    want = hmm.Model.first(vocab.class_share)
+    for _ in range(hmm.ROUNDS):
+        want = want.update(sum(hmm.expected_counts(want, x.classes(vocab), x.lengths) for x in learn), vocab.class_share)
+    assert model.start == pytest.approx(want.start, abs=1e-4) and model.move == pytest.approx(want.move, abs=1e-4) and model.emit == pytest.approx(want.emit, abs=1e-5)
+
+
 def test_states_emit_every_word(spark, monkeypatch):
     """The table has all words, emissions sum to 1, and scores are those of a plain forward recursion, words being joined or not."""
     monkeypatch.setattr(hmm, "HEAVY_WORDS", 7)
